@@ -1,7 +1,7 @@
 """WARC archives packed in ZIP files: writer, and a reader that needs no extraction.
 
-The writer stores (never deflates) one WARC member and one index member in each ZIP file, so a
-record is a byte range of the file. The reader takes any `read(offset, length)` function: it finds
+Each record is a gzip member of its own, as WARC files are usually kept; the writer stores (never deflates)
+one WARC member and one index member in each ZIP file, so a record is a byte range of the file. The reader takes any `read(offset, length)` function: it finds
 the end-of-central-directory record, follows the ZIP64 locator where there is one, parses the
 central directory with ZIP64 extra fields, locates the members' data behind their local headers,
 and range-reads the index and then each record.
@@ -19,6 +19,7 @@ writes no archive. Other columns are not read.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import os
 import struct
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import cut, shared_dir
 
 CRLF, PAGE = b"\r\n", "urn:page:"
-MEMBER, INDEX = "archive/data.warc", "indexes/index.cdx"
+MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 # fixed values of the ZIP format
 EOCD, EOCD64, LOCATOR, CENTRAL, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 
@@ -111,7 +112,8 @@ class ZipRanges:
         """Each record of the archive, by the index's ranges."""
         for line in self.range(INDEX).decode().splitlines():
             _, offset, length = line.rsplit(" ", 2)
-            yield self.range(MEMBER, int(offset), int(length))
+            raw = self.range(MEMBER, int(offset), int(length))
+            yield gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
 
 
 def open_path(uri: str, mode: str):
@@ -148,7 +150,7 @@ def plan(pages: DataFrame, least: int = 1000) -> DataFrame:
     return rows.join(same, rows.sha1 == same.s, "left").drop("s")
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 1000, roll: int = 16 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, least: int = 1000, roll: int = 4 << 20) -> DataFrame:
     """Writes ZIP-packed WARC archives of about `roll` bytes under folder; returns (uri, n) of each."""
 
     def each(batches):
@@ -173,6 +175,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, roll: int =
                     z = open_path(uri, "wb")
                     zipped = zipfile.ZipFile(z, "w", zipfile.ZIP_STORED)
                     member = zipped.open(zipfile.ZipInfo(MEMBER), "w", force_zip64=True)
+                raw = gzip.compress(raw, 3, mtime=0)
                 member.write(raw)
                 index.append((name, offset, len(raw)))
                 offset += len(raw)

@@ -82,7 +82,7 @@ class Templates:
         if len(self.words) > self.most:
             self.__init__(self.most)
         raw = (text or "").split()
-        ids = np.fromiter(map(self.words.__getitem__, raw), np.int64, len(raw)) - 1
+        ids = np.fromiter(map(self.words.__getitem__, raw), np.int64, len(raw))
         if len(self.words.hash) != self.n:
             self.hash = np.concatenate([self.hash, np.array(self.words.hash[self.n :], np.uint64)])
             self.flags = np.concatenate([self.flags, np.array(self.words.flags[self.n :], np.uint8)])

@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from .common import cut, remainder, shared_dir
 
 BOS, END = xxhash.xxh64_intdigest(b" ", 0), xxhash.xxh64_intdigest(b"\n", 0)  # no word has a blank
 DISCOUNT = 0.75
+PASSES = 4  # over a shard's blobs when it is counted, each for a share of its context words
 
 
 class EliasFano:
@@ -64,12 +66,15 @@ class EliasFano:
         bits = np.zeros(size, np.uint8)
         bits[high + np.arange(n)] = 1
         highs = np.packbits(bits, bitorder="little").tobytes()
-        lows = np.zeros(n * low + 64, np.uint8)
-        if low:
-            at = np.arange(n, dtype=np.int64) * low
-            for k in range(low):
-                lows[at + k] = (v >> np.uint64(k)).astype(np.uint8) & 1
-        packed = np.packbits(lows, bitorder="little").tobytes() + b"\0" * 8
+        lows = np.zeros((n * low >> 6) + 2, np.uint64)
+        if low and n:
+            part, at = v & np.uint64((1 << low) - 1), np.arange(n, dtype=np.int64) * low
+            slot, shift = at >> 6, (at & 63).astype(np.uint64)
+            starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+            lows[slot[starts]] |= np.bitwise_or.reduceat(part << shift, starts)
+            over = np.flatnonzero(shift + np.uint64(low) > np.uint64(64))  # one a word at most
+            lows[slot[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
+        packed = lows.astype("<u8").tobytes() + b"\0" * 8
         return struct.pack("<QQQQ", n, low, len(packed), len(highs)) + packed + highs
 
     def lower(self, i: np.ndarray) -> np.ndarray:
@@ -88,13 +93,16 @@ class EliasFano:
         high = np.where(ok, high, 0).astype(np.int64)
         a, b = np.where(high > 0, self.starts[high - 1], 0), np.where(ok, self.starts[high], 0)
         want = v & np.uint64((1 << self.low) - 1)
-        rows = np.flatnonzero(a < b)
-        while len(rows):
-            hit = self.lower(a[rows]) == want[rows]
-            out[rows[hit]] = a[rows[hit]]
-            rows = rows[~hit]
-            a[rows] += 1
+        end, rows = b.copy(), np.flatnonzero(a < b)
+        while len(rows):  # a bucket may be as large as a frequent context's successors: halve it
+            mid = (a[rows] + b[rows]) >> 1
+            less = self.lower(mid) < want[rows]
+            a[rows[less]] = mid[less] + 1
+            b[rows[~less]] = mid[~less]
             rows = rows[a[rows] < b[rows]]
+        rows = np.flatnonzero(ok & (a < end))
+        rows = rows[self.lower(a[rows]) == want[rows]]
+        out[rows] = a[rows]
         return out
 
 
@@ -177,19 +185,34 @@ class Trie:
         return counts, add
 
 
+def planes(x: np.ndarray, kind: str) -> bytes:
+    """Bytes of equal rank together: they pack better."""
+    return np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: str, n: int, at: int) -> tuple[np.ndarray, int]:
+    k = np.dtype(kind).itemsize
+    x = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * k, at).reshape(k, n).T).view(kind).reshape(n)
+    return x, at + n * k
+
+
 def pack(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, per_doc: np.ndarray, train: np.ndarray) -> bytes:
+    """words sorted; a ascends inside a document, so its differences are small."""
     kind = "<u2" if len(words) <= 1 << 16 else "<u4"
     times = "<u1" if not len(n) or n.max() < 256 else "<u4"
     head = struct.pack("<QQQQQ", len(words), len(a), len(per_doc), int(kind[-1]), int(times[-1]))
-    return head + words.astype("<u8").tobytes() + a.astype(kind).tobytes() + b.astype(kind).tobytes() + n.astype(times).tobytes() + per_doc.astype("<u4").tobytes() + train.astype("<u1").tobytes()
+    body = planes(np.diff(words.astype("<u8"), prepend=np.uint64(0)), "<u8") + planes(np.diff(a, prepend=0), kind) + planes(b, kind) + planes(n, times) + planes(per_doc, "<u4") + train.astype("<u1").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
 
 
 def unpack(raw: bytes) -> tuple[np.ndarray, ...]:
+    raw = zstandard.ZstdDecompressor().decompress(raw)
     w, m, d, kind, times = struct.unpack_from("<QQQQQ", raw)
     out, at = [], 40
     for n, t in ((w, "<u8"), (m, f"<u{kind}"), (m, f"<u{kind}"), (m, f"<u{times}"), (d, "<u4"), (d, "<u1")):
-        out.append(np.frombuffer(raw, t, n, at))
-        at += out[-1].nbytes
+        x, at = from_planes(raw, t, n, at)
+        out.append(x)
+    out[0], out[1] = np.cumsum(out[0], dtype="<u8"), np.cumsum(out[1], dtype=f"<u{kind}")  # modulo the width, as the differences are
     return tuple(out)
 
 
@@ -239,8 +262,11 @@ def messages(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
                 lo, hi = cuts[k], cuts[k + 1]
                 if lo < hi:
                     used = np.unique(np.concatenate([a[lo:hi], b[lo:hi]]))
+                    used = used[np.argsort(hashes[used])]
                     place[used] = np.arange(len(used))
-                    rows.append((k, pack(hashes[used], place[a[lo:hi]], place[b[lo:hi]], n[lo:hi], np.bincount(doc[lo:hi], minlength=len(parts)), train)))
+                    x, y, z = place[a[lo:hi]], place[b[lo:hi]], doc[lo:hi]
+                    by = np.argsort((z * len(used) + x) * len(used) + y)
+                    rows.append((k, pack(hashes[used], x[by], y[by], n[lo:hi][by], np.bincount(z, minlength=len(parts)), train)))
             got = [
                 pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([base], pa.int64()), pa.array([blob], pa.binary()), pa.array([None], pa.list_(kind)), pa.array([None], pa.list_(pa.int64()))], ["shard", "base", "blob", "ids", "sizes"])
                 for k, blob in rows
@@ -268,16 +294,18 @@ def messages(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
 def tally(least: int):
     """A shard's blobs to its counts: rows (w1, 0, false, count) for words, (w1, w2, true, count) for kept pairs."""
 
-    def each(rows: pd.DataFrame) -> pd.DataFrame:
+    def part(blobs, k: int) -> pd.DataFrame:
+        """Of the context words whose hash says k."""
         words, a, b, n, at = [], [], [], [], 0
-        for raw in rows["blob"]:
+        for raw in blobs:
             w, x, y, times, per_doc, train = unpack(raw)
-            use = np.repeat(train.astype(bool), per_doc)
-            words.append(w)
-            a.append(x[use].astype(np.int64) + at)
-            b.append(y[use].astype(np.int64) + at)
+            use = np.flatnonzero(np.repeat(train.astype(bool), per_doc) & ((w >> np.uint64(30)) % np.uint64(PASSES) == np.uint64(k))[x])
+            used, back = np.unique(np.concatenate([x[use], y[use]]), return_inverse=True)
+            words.append(w[used])
+            a.append(back[: len(use)] + at)
+            b.append(back[len(use) :] + at)
             n.append(times[use].astype(np.int64))
-            at += len(w)
+            at += len(used)
         every, back = np.unique(np.concatenate(words), return_inverse=True)
         a, b, n = back[np.concatenate(a)], back[np.concatenate(b)], np.concatenate(n)
         count = np.bincount(a, n, len(every)).astype(np.int64)
@@ -288,8 +316,8 @@ def tally(least: int):
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         pairs = np.add.reduceat(n, starts) if len(key) else np.zeros(0, np.int64)
         keep = pairs >= least
-        key, pairs = key[starts][keep] if len(starts) else key, pairs[keep]
-        first, second = np.divmod(key, len(every))
+        key, pairs = key[starts][keep], pairs[keep]
+        first, second = np.divmod(key, max(1, len(every)))
         signed = every.view(np.int64)
         return pd.DataFrame({
             "w1": np.concatenate([signed[seen], signed[first]]),
@@ -298,6 +326,9 @@ def tally(least: int):
             "n": np.concatenate([count[seen], pairs]),
         })
 
+    def each(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([part(rows["blob"], k) for k in range(PASSES)])
+
     return each
 
 
@@ -305,7 +336,7 @@ def score(docs: DataFrame, by: int = 5, held: int = 1, least: int = 2, shards: i
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
     if shards is None:
-        shards = max(8, min(100_000, int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // shard_bytes))
+        shards = max(6, min(100_000, int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // shard_bytes))
     kind = docs.schema[id_col].dataType.simpleString()
     held_out = remainder(id_col, by) == held
     name = f"lm_{uuid.uuid4().hex}"

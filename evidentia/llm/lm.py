@@ -107,10 +107,12 @@ class EliasFano:
 
 
 def quantise(x: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Codebook and codes: evenly spread quantiles, the nearest one for each value."""
+    """Codebook and codes: the values themselves or else evenly spread quantiles, the nearest one for each value."""
     if not len(x):
         return np.zeros(1), np.zeros(0, np.uint8)
-    book = np.unique(np.quantile(x, np.linspace(0, 1, levels)))
+    book = np.unique(x)
+    if len(book) > levels:
+        book = np.unique(np.quantile(x, np.linspace(0, 1, levels)))
     i = np.clip(np.searchsorted(book, x), 1, max(1, len(book) - 1))
     if len(book) > 1:
         i = np.where(x - book[i - 1] < book[i] - x, i - 1, i)

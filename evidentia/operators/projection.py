@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..schemas import COLUMNS, HTTP_KINDS, KINDS, MESSAGES, PROJECTION_VERSION
+from ..schemas import CANONICAL, HTTP_KINDS, KINDS, MESSAGES, PROJECTION_VERSION
 
 #: Which snapshot of a message wins: edited last (null lowest), seen last, greatest observation id, first place in its page.
 ORDER = ("edited_at", "observed_at", "observation_id", "place")
@@ -90,8 +90,13 @@ def best_known(rows: DataFrame, key: str = "message_id", order=ORDER) -> DataFra
     return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*rank)).alias("x")).select(key, "x.*")
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Canonical columns in order, with their field ids."""
+    return rows.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in CANONICAL])
+
+
 def project(envelopes: DataFrame) -> DataFrame:
-    return best_known(snapshots(once(validated(envelopes)))).select(*COLUMNS)
+    return in_order(best_known(snapshots(once(validated(envelopes)))))
 
 
 def reduce(*groups: DataFrame) -> DataFrame:
@@ -99,7 +104,7 @@ def reduce(*groups: DataFrame) -> DataFrame:
     out = groups[0]
     for g in groups[1:]:
         out = out.unionByName(g)
-    return best_known(out).select(*COLUMNS)
+    return in_order(best_known(out))
 
 
 def as_of(envelopes: DataFrame, at) -> DataFrame:

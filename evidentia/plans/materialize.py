@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import projection as P
-from ..schemas import CANONICAL, COLUMNS
+from ..schemas import CANONICAL
 from ..sources import archive
 from ..sources.catalog import Catalog
 from ..sources.control import ControlStore
@@ -82,7 +82,7 @@ def run(spark: SparkSession, control: ControlStore, catalog: Catalog, cfg: Confi
     status("committing")
     catalog.ensure_namespace()
     catalog.ensure_table(cfg.table)
-    rows = P.best_known(spark.read.schema(CANONICAL).parquet(*candidates)).select(*COLUMNS) if candidates else spark.createDataFrame([], CANONICAL)
+    rows = P.in_order(P.best_known(spark.read.schema(CANONICAL).parquet(*candidates))) if candidates else spark.createDataFrame([], CANONICAL)
     ranked = rows.join(P.chunks(rows, "message_id", cfg.batch), "message_id")
     n_rows = rows.count()
     batches = -(-n_rows // cfg.batch)

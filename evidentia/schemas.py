@@ -6,15 +6,28 @@ PROJECTION_VERSION = "http-message-v1"
 HTTP_KINDS = ("http_backfill", "http_reconciliation")
 KINDS = (*HTTP_KINDS, "gateway")
 
-PROVENANCE = T.StructType.fromDDL(
-    "run_id string, discord_api_version string, guild_id string, channel_id string, operation string, endpoint string, "
-    "pagination struct<before:string,after:string>, `limit` int, request_started_at string, response_completed_at string, http_status int, "
-    "capabilities map<string,boolean>, rate_limit struct<`limit`:int,remaining:int,reset_after_seconds:double,bucket:string>"
+
+def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
+def _texts(names: str) -> list[tuple[str, T.DataType]]:
+    return [(name, T.StringType()) for name in names.split()]
+
+
+PROVENANCE = _struct(
+    *_texts("run_id discord_api_version guild_id channel_id operation endpoint"),
+    ("pagination", _struct(*_texts("before after"))),
+    ("limit", T.IntegerType()),
+    *_texts("request_started_at response_completed_at"),
+    ("http_status", T.IntegerType()),
+    ("capabilities", T.MapType(T.StringType(), T.BooleanType())),
+    ("rate_limit", _struct(("limit", T.IntegerType()), ("remaining", T.IntegerType()), ("reset_after_seconds", T.DoubleType()), ("bucket", T.StringType()))),
 )
 #: payload stays text: its hash is over what was received
-ENVELOPE = T.StructType.fromDDL("envelope_version string, observation_id string, source_kind string, observed_at string, payload string").add("provenance", PROVENANCE)
+ENVELOPE = _struct(*_texts("envelope_version observation_id source_kind observed_at payload"), ("provenance", PROVENANCE))
 MESSAGES = T.ArrayType(
-    T.StructType.fromDDL("id string, channel_id string, author struct<id:string,username:string,bot:boolean>, content string, `timestamp` string, edited_timestamp string, pinned boolean, type int")
+    _struct(*_texts("id channel_id"), ("author", _struct(*_texts("id username"), ("bot", T.BooleanType()))), *_texts("content timestamp edited_timestamp"), ("pinned", T.BooleanType()), ("type", T.IntegerType()))
 )
 
 

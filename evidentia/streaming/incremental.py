@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import projection as P
 from ..plans.crawl import Budget, advance
-from ..schemas import COLUMNS, ENVELOPE
+from ..schemas import ENVELOPE
 
 
 def read_archive(spark: SparkSession, root: str, per_trigger: int = 1000) -> DataFrame:
@@ -26,7 +26,7 @@ def read_archive(spark: SparkSession, root: str, per_trigger: int = 1000) -> Dat
 
 def current(envelopes: DataFrame) -> DataFrame:
     """Best-known state; write it in complete mode. Duplicates of an observation change nothing."""
-    return P.best_known(P.snapshots(P.validated(envelopes))).select(*COLUMNS)
+    return P.in_order(P.best_known(P.snapshots(P.validated(envelopes))))
 
 
 def upsert(path: str, spark: SparkSession):
@@ -36,7 +36,7 @@ def upsert(path: str, spark: SparkSession):
 
     def each(batch: DataFrame, n: int) -> None:
         versions = sorted(int(x) for x in os.listdir(path) if x.isdigit() and int(x) < n) if os.path.isdir(path) else []
-        new = P.best_known(P.snapshots(P.once(P.validated(batch)))).select(*COLUMNS)
+        new = P.project(batch)
         if versions:
             new = P.reduce(spark.read.parquet(f"{path}/{versions[-1]}"), new)
         new.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{n}")

@@ -36,7 +36,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [("quality", quality_stage), ("simhash", simhash_stage), ("decontamination", decontamination_stage), ("secrets", secrets_stage), ("mixing", mixing_stage)]
 
-#: The network of the first stage has no SQL form; tests/llm compares run() with a brute-force version.
+#: The network of the first stage has no SQL form. Each stage is tested on its own; run() has no brute-force test yet.
 ORACLE_SQL = None
 
 

@@ -5,11 +5,14 @@ number. The unigram level is complete; the pair level keeps pairs seen `least` t
 count alone. Unigrams are smoothed by adding a half, pairs by an absolute discount whose mass goes back to
 the unigrams of the other words, so that each context's probabilities sum to one.
 
-Neither documents nor model are ever gathered: a document's pairs go to the shard of their context word, as
-one packed blob for each batch and shard, written once to a table that is bucketed by shard. The shard counts
-its pairs, its trie is built from its counts, and its blobs are scored against its trie, all in place; only
-pruned pairs are joined with their second word's count, and only sums by document travel on. The number of
-shards follows the size of the input.
+Neither documents nor model are ever gathered. Words are counted first. Pairs then go to the shard of their
+context word, as one packed blob for each batch and shard; a context with more than a shard's share of all
+tokens is split over as many shards as it has shares, by the hash of the second word. Such contexts are
+fewer than the shards, so their list is small whatever the input. Counting sends each batch's pairs summed
+over its training documents; scoring sends them by document, and scores them in place against the shard's
+trie. Back-off weights come from sums over all of a context's pairs, so that its parts agree. Only sums by
+document travel on. Nothing but counts and tries is written, and a lost executor's blobs are made anew from
+the documents. The number of shards follows the size of the input.
 
 A shard's trie has sorted word hashes, monotone pointers into the pair level, and successors, each an
 Elias-Fano sequence; discounted probabilities and back-off weights are 8-bit codes of a codebook; the bytes
@@ -25,22 +28,27 @@ from __future__ import annotations
 
 import math
 import struct
-import uuid
+from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, remainder, shared_dir
+from .common import cut, remainder
 
 BOS, END = xxhash.xxh64_intdigest(b" ", 0), xxhash.xxh64_intdigest(b"\n", 0)  # no word has a blank
 DISCOUNT = 0.75
-PASSES = 4  # over a shard's blobs when it is counted, each for a share of its context words
+AT_ONCE = 1 << 20  # pairs counted at once
+
+
+def as_long(x: int) -> int:
+    """The signed number of the same 64 bits."""
+    return x - (1 << 64) if x >= 1 << 63 else x
 
 
 class EliasFano:
@@ -147,10 +155,12 @@ class Trie:
         return cls(memoryview(np.memmap(path, np.uint8, "r")))
 
     @staticmethod
-    def build(words: np.ndarray, counts: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, second_count: np.ndarray, total: int, distinct: int, discount: float = DISCOUNT) -> bytes:
-        """From word hashes with counts, and kept pairs of hashes with their counts and the second words' counts."""
-        order = np.argsort(words)
-        words, counts = words[order], counts[order]
+    def build(words: np.ndarray, counts: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, second_count: np.ndarray, total: int, distinct: int, discount: float = DISCOUNT, mass: tuple[np.ndarray, np.ndarray] | None = None) -> bytes:
+        """From word hashes with counts, and kept pairs of hashes with their counts and the second words' counts.
+        mass: for each word, its kept pairs' probability and their second words' unigram probability, where
+        the pairs given are a part of them."""
+        order_of = np.argsort(words)
+        words, counts = words[order_of], counts[order_of]
         every = np.unique(np.concatenate([words, second]))
         rank, nxt = np.searchsorted(every, words), np.searchsorted(every, second)
         own = np.searchsorted(words, first)
@@ -158,7 +168,7 @@ class Trie:
         own, nxt, pair, second_count = own[order], nxt[order], pair[order].astype(float), second_count[order]
         uni = (second_count + 0.5) / (total + 0.5 * (distinct + 1))
         p = (pair - discount) / counts[own]
-        kept, lower = np.bincount(own, p, len(words)), np.bincount(own, uni, len(words))
+        kept, lower = (np.bincount(own, p, len(words)), np.bincount(own, uni, len(words))) if mass is None else (mass[0][order_of], mass[1][order_of])
         with np.errstate(divide="ignore", invalid="ignore"):
             back = np.where(kept > 0, np.log10(np.maximum(1 - kept, 1e-9) / np.maximum(1 - lower, 1e-9)), 0.0)
         books = quantise(back), quantise(np.log10(p / uni) if len(p) else np.zeros(0))
@@ -198,110 +208,147 @@ def from_planes(raw: bytes, kind: str, n: int, at: int) -> tuple[np.ndarray, int
     return x, at + n * k
 
 
-def pack(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, per_doc: np.ndarray, train: np.ndarray) -> bytes:
+def pack(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, per_doc: np.ndarray) -> bytes:
     """words sorted; a ascends inside a document, so its differences are small."""
     kind = "<u2" if len(words) <= 1 << 16 else "<u4"
     times = "<u1" if not len(n) or n.max() < 256 else "<u4"
     head = struct.pack("<QQQQQ", len(words), len(a), len(per_doc), int(kind[-1]), int(times[-1]))
-    body = planes(np.diff(words.astype("<u8"), prepend=np.uint64(0)), "<u8") + planes(np.diff(a, prepend=0), kind) + planes(b, kind) + planes(n, times) + planes(per_doc, "<u4") + train.astype("<u1").tobytes()
+    body = planes(np.diff(words.astype("<u8"), prepend=np.uint64(0)), "<u8") + planes(np.diff(a, prepend=0), kind) + planes(b, kind) + planes(n, times) + planes(per_doc, "<u4")
     return zstandard.ZstdCompressor(level=1).compress(head + body)
 
 
-def unpack(raw: bytes) -> tuple[np.ndarray, ...]:
+def pairs_in(raw: bytes | pa.Buffer) -> int:
+    with zstandard.ZstdDecompressor().stream_reader(raw) as f:
+        return struct.unpack("<QQ", f.read(16))[1]
+
+
+def unpack(raw: bytes | pa.Buffer) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(raw)
     w, m, d, kind, times = struct.unpack_from("<QQQQQ", raw)
     out, at = [], 40
-    for n, t in ((w, "<u8"), (m, f"<u{kind}"), (m, f"<u{kind}"), (m, f"<u{times}"), (d, "<u4"), (d, "<u1")):
+    for n, t in ((w, "<u8"), (m, f"<u{kind}"), (m, f"<u{kind}"), (m, f"<u{times}"), (d, "<u4")):
         x, at = from_planes(raw, t, n, at)
         out.append(x)
     out[0], out[1] = np.cumsum(out[0], dtype="<u8"), np.cumsum(out[1], dtype=f"<u{kind}")  # modulo the width, as the differences are
     return tuple(out)
 
 
-def messages(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", at_once: int = 4 << 20) -> DataFrame:
-    """(shard, base, blob, ids, sizes): a blob of counted pairs for each batch and shard, and for shard -1
-    the batch's ids and numbers of tokens. base + place in the batch names a document. Column train
-    of docs says whether a row is learned from."""
+def shards_of(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Shard of each pair: that of its context, or one of several from there on where the context is hot.
+    hot: sorted hashes of such contexts, and the number of shards of each."""
+    home, parts = (hashes >> np.uint64(40)) % np.uint64(shards), np.ones(len(hashes), np.uint64)
+    if len(hot[0]):
+        at = np.minimum(np.searchsorted(hot[0], hashes), len(hot[0]) - 1)
+        parts = np.where(hot[0][at] == hashes, hot[1][at], parts)
+    return ((home[a] + (hashes >> np.uint64(32))[b] % parts[a]) % np.uint64(shards)).astype(np.int64)
+
+
+def word_counts(docs: DataFrame, text_col: str = "text", at_once: int = 200_000) -> DataFrame:
+    """(w, c): hash and count of every word and of the end token, summed by task before they travel."""
+
+    def each(batches):
+        count: Counter[bytes] = Counter()
+        ends = 0
+
+        def out():
+            w = np.fromiter((xxhash.xxh64_intdigest(x) for x in count), np.uint64, len(count))
+            got = pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(list(count.values()), pa.int64())], ["w", "c"])
+            count.clear()
+            return got
+
+        for batch in batches:
+            for t in batch.column(0):
+                count.update((t.as_py() or "").encode().lower().split())
+                ends += 1
+                if len(count) >= at_once:
+                    yield out()
+        yield out()
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([as_long(END)], pa.int64()), pa.array([ends], pa.int64())], ["w", "c"])
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(each, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+
+
+def messages(docs: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarray], summed: bool, id_col: str = "doc_id", text_col: str = "text", at_once: int = 4 << 20) -> DataFrame:
+    """(shard, base, blob, ids, sizes): a blob of counted pairs for each batch and shard. summed: pairs count
+    over the batch, else by document; base + place in the batch then names a document, and a row with a
+    shard below 0, spread like the others, holds the batch's ids and numbers of tokens."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"shard int, base long, blob binary, ids array<{kind}>, sizes array<long>"
 
     def each(batches):
         base, digest = TaskContext.get().partitionId() << 36, xxhash.xxh64_intdigest
 
-        def out(ids, texts, train, kind):
+        def row(k, blob, ids, sizes, kind):
+            return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([base], pa.int64()), pa.array([blob], pa.binary()), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64()))], ["shard", "base", "blob", "ids", "sizes"])
+
+        def out(ids, texts, kind):
             nonlocal base
             number: dict[bytes, int] = {}
             parts = []
             for t in texts:
                 words = t.split()
                 parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
-            n_words = len(number)
+            n_words, n_docs = len(number), 1 if summed else len(parts)
             hashes = np.fromiter((digest(w) for w in number), np.uint64, n_words)
             hashes = np.append(hashes, np.array([BOS, END], np.uint64))
+            del number
             sizes = np.array([len(p) for p in parts], np.int64)
             ends = np.cumsum(sizes + 1)
-            pos = np.arange(int(ends[-1]))
             flat = np.concatenate(parts) if len(parts) else np.zeros(0, np.int64)
-            last, first = np.zeros(len(pos), bool), np.zeros(len(pos), bool)
+            total = int(ends[-1])
+            last, first = np.zeros(total, bool), np.zeros(total, bool)
             last[ends - 1] = True
             first[ends - 1 - sizes] = True
-            b, a = np.full(len(pos), n_words + 1, np.int64), np.full(len(pos), n_words, np.int64)
+            b, a = np.full(total, n_words + 1, np.int64), np.full(total, n_words, np.int64)
             b[~last], a[~first] = flat, flat
-            doc = np.repeat(np.arange(len(parts)), sizes + 1)
+            doc = np.zeros(total, np.int64) if summed else np.repeat(np.arange(len(parts)), sizes + 1)
+            del flat, parts, last, first
             m = n_words + 2
-            shard_of = ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(((shard_of[a] * len(parts) + doc) * m + a) * m + b) if shards * len(parts) * m * m < 1 << 62 else np.lexsort((b, a, doc, shard_of[a]))
-            a, b, doc = a[order], b[order], doc[order]
-            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1]))
-            starts = np.flatnonzero(new)
+            s = shards_of(hashes, a, b, shards, hot)
+            order = np.argsort(((s * n_docs + doc) * m + a) * m + b) if shards * n_docs * m * m < 1 << 62 else np.lexsort((b, a, doc, s))
+            a, b, doc, s = a[order], b[order], doc[order], s[order]
+            starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1])))
             n = np.diff(np.append(starts, len(a)))
-            a, b, doc = a[starts], b[starts], doc[starts]
-            s = shard_of[a]
+            a, b, doc, s = a[starts], b[starts], doc[starts], s[starts]
             cuts = np.searchsorted(s, np.arange(shards + 1))
-            rows = []
             place = np.zeros(m, np.int64)
-            for k in range(shards):
+            for k in np.unique(s).tolist():
                 lo, hi = cuts[k], cuts[k + 1]
-                if lo < hi:
-                    used = np.unique(np.concatenate([a[lo:hi], b[lo:hi]]))
-                    used = used[np.argsort(hashes[used])]
-                    place[used] = np.arange(len(used))
-                    x, y, z = place[a[lo:hi]], place[b[lo:hi]], doc[lo:hi]
-                    by = np.argsort((z * len(used) + x) * len(used) + y)
-                    rows.append((k, pack(hashes[used], x[by], y[by], n[lo:hi][by], np.bincount(z, minlength=len(parts)), train)))
-            got = [
-                pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([base], pa.int64()), pa.array([blob], pa.binary()), pa.array([None], pa.list_(kind)), pa.array([None], pa.list_(pa.int64()))], ["shard", "base", "blob", "ids", "sizes"])
-                for k, blob in rows
-            ]
-            got.append(pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([base], pa.int64()), pa.array([None], pa.binary()), pa.array([ids], pa.list_(kind)), pa.array([(sizes + 1).tolist()], pa.list_(pa.int64()))], ["shard", "base", "blob", "ids", "sizes"]))
-            base += len(parts)
-            return got
+                used = np.unique(np.concatenate([a[lo:hi], b[lo:hi]]))
+                used = used[np.argsort(hashes[used])]
+                place[used] = np.arange(len(used))
+                x, y, z = place[a[lo:hi]], place[b[lo:hi]], doc[lo:hi]
+                by = np.argsort((z * len(used) + x) * len(used) + y)
+                yield row(k, pack(hashes[used], x[by], y[by], n[lo:hi][by], np.bincount(z, minlength=n_docs)), None, None, kind)
+            if not summed:
+                yield row(-1 - (base ^ base >> 36) % shards, None, ids, (sizes + 1).tolist(), kind)
+            base += len(sizes)
 
         for batch in batches:
-            ids, texts, train, held = [], [], [], 0
-            for i, t, f in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+            ids, texts, held = [], [], 0
+            for i, t in zip(batch.column(0), batch.column(1), strict=True):
                 ids.append(i.as_py())
                 texts.append((t.as_py() or "").encode().lower())
-                train.append(bool(f.as_py()))
                 held += len(texts[-1]) + 64
                 if held >= at_once:
-                    yield from out(ids, texts, np.array(train), batch.schema.field(0).type)
-                    ids, texts, train, held = [], [], [], 0
+                    yield from out(ids, texts, batch.schema.field(0).type)
+                    ids, texts, held = [], [], 0
             if ids:
-                yield from out(ids, texts, np.array(train), batch.schema.field(0).type)
+                yield from out(ids, texts, batch.schema.field(0).type)
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), "train").mapInArrow(each, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(each, schema)
 
 
 def tally(least: int):
-    """A shard's blobs to its counts: rows (w1, 0, false, count) for words, (w1, w2, true, count) for kept pairs."""
+    """A shard's blobs to its kept pairs (shard, w1, w2, n)."""
 
-    def part(blobs, k: int) -> pd.DataFrame:
-        """Of the context words whose hash says k."""
+    def part(blobs: list, k: int, parts: int) -> pa.Table:
+        """Of the pairs whose hashes say k, so that a hot context is counted in parts, too."""
         words, a, b, n, at = [], [], [], [], 0
         for raw in blobs:
-            w, x, y, times, per_doc, train = unpack(raw)
-            use = np.flatnonzero(np.repeat(train.astype(bool), per_doc) & ((w >> np.uint64(30)) % np.uint64(PASSES) == np.uint64(k))[x])
+            w, x, y, times, _ = unpack(raw)
+            use = np.flatnonzero(((w >> np.uint64(20))[x] + (w >> np.uint64(12))[y]) % np.uint64(parts) == np.uint64(k))
             used, back = np.unique(np.concatenate([x[use], y[use]]), return_inverse=True)
             words.append(w[used])
             a.append(back[: len(use)] + at)
@@ -309,27 +356,58 @@ def tally(least: int):
             n.append(times[use].astype(np.int64))
             at += len(used)
         every, back = np.unique(np.concatenate(words), return_inverse=True)
-        a, b, n = back[np.concatenate(a)], back[np.concatenate(b)], np.concatenate(n)
-        count = np.bincount(a, n, len(every)).astype(np.int64)
-        seen = np.flatnonzero(count)
-        key = a * len(every) + b
+        del words
+        key, n = back[np.concatenate(a)] * len(every) + back[np.concatenate(b)], np.concatenate(n)
+        del a, b
         order = np.argsort(key)
         key, n = key[order], n[order]
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         pairs = np.add.reduceat(n, starts) if len(key) else np.zeros(0, np.int64)
         keep = pairs >= least
-        key, pairs = key[starts][keep], pairs[keep]
-        first, second = np.divmod(key, max(1, len(every)))
+        first, second = np.divmod(key[starts][keep], max(1, len(every)))
         signed = every.view(np.int64)
-        return pd.DataFrame({
-            "w1": np.concatenate([signed[seen], signed[first]]),
-            "w2": np.concatenate([np.zeros(len(seen), np.int64), signed[second]]),
-            "pair": np.repeat([False, True], [len(seen), len(key)]),
-            "n": np.concatenate([count[seen], pairs]),
-        })
+        return pa.table({"w1": signed[first], "w2": signed[second], "n": pairs[keep]})
+
+    def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        blobs = [x.as_buffer() for x in rows.column("blob")]
+        parts = 1 + sum(pairs_in(x) for x in blobs) // AT_ONCE
+        got = pa.concat_tables([part(blobs, k, parts) for k in range(parts)])
+        return got.add_column(0, "shard", pa.array([key[0].as_py()] * len(got), pa.int32()))
 
-    def each(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([part(rows["blob"], k) for k in range(PASSES)])
+    return each
+
+
+def weigh(key: tuple[pa.Scalar, ...], rows: pa.Table, model: pa.Table) -> pa.Table:
+    """A shard's blobs against its trie: sums by document; or ids and sizes, where the shard is below 0."""
+    names = ("uid", "base_part", "gain", "known", "id", "n_tokens")
+    kind, tables = rows.schema.field("ids").type.value_type, []
+    trie = Trie(model.column("trie")[0].as_buffer()) if len(model) else None
+    for base, raw, ids, sizes in zip(rows.column("base"), rows.column("blob"), rows.column("ids"), rows.column("sizes"), strict=True):
+        base = base.as_py()
+        if not raw.is_valid:
+            d, x = len(ids.values), np.zeros((3, len(ids.values)))
+            some, own, n_tokens = np.arange(d), ids.values, sizes.values
+        else:
+            words, a, b, n, per_doc = unpack(raw.as_buffer())
+            n, d = n.astype(np.int64), len(per_doc)
+            c, add = trie.look(words, a.astype(np.int64), b.astype(np.int64)) if trie is not None else (np.zeros(len(words), np.int64), np.zeros(len(a)))
+            doc, times = np.repeat(np.arange(d), per_doc), n * (words != np.uint64(BOS))[a]
+            x = np.stack([np.bincount(doc, times * np.log10(c + 0.5)[a], d), np.bincount(doc, n * add, d), np.bincount(doc, times * (c > 0)[a], d)])
+            some = np.flatnonzero(per_doc)
+            own, n_tokens = pa.nulls(len(some), kind), pa.nulls(len(some), pa.int64())
+        tables.append(pa.table([pa.array(base + some), pa.array(x[0, some]), pa.array(x[1, some]), pa.array(x[2, some].astype(np.int64)), own, n_tokens], names))
+    return pa.concat_tables(tables or [pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.int64(), kind, pa.int64())], names)])
+
+
+def build(total: int, distinct: int):
+    """A shard's words (w2 null) and pairs to its trie."""
+
+    def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        two = rows.column("w2").is_valid()
+        one, more = rows.filter(pc.invert(two)), rows.filter(two)
+        u = lambda t, name: np.ascontiguousarray(t.column(name).to_numpy()).view(np.uint64)
+        raw = Trie.build(u(one, "w1"), one.column("n").to_numpy(), u(more, "w1"), u(more, "w2"), more.column("n").to_numpy(), more.column("c2").to_numpy(), total, distinct, mass=(one.column("kept").to_numpy(), one.column("lower").to_numpy()))
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([raw], pa.binary())], ["shard", "trie"])
 
     return each
 
@@ -340,62 +418,33 @@ def score(docs: DataFrame, by: int = 5, held: int = 1, least: int = 2, shards: i
     if shards is None:
         shards = max(6, min(100_000, int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // shard_bytes))
     kind = docs.schema[id_col].dataType.simpleString()
-    held_out = remainder(id_col, by) == held
-    name = f"lm_{uuid.uuid4().hex}"
-    rows = messages(docs.withColumn("train", ~held_out), shards, id_col, text_col)
-    rows.repartition(shards, "shard").write.bucketBy(shards, "shard").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    try:
-        sent = spark.table(name)
-        blobs = sent.where("shard >= 0").select("shard", "base", "blob")
-        counts = cut(blobs.groupBy("shard").applyInPandas(tally(least), "w1 long, w2 long, pair boolean, n long"), "lm-counts")
-        as_long = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-        bos, end = as_long(BOS), as_long(END)
-        uni = counts.where("not pair").select(F.col("w1").alias("w"), F.col("n").alias("c"))
-        total, distinct, docs_seen = uni.agg(F.coalesce(F.sum(F.when(F.col("w") != bos, F.col("c"))), F.lit(0)), F.count(F.when(F.col("w") != bos, 1)), F.coalesce(F.sum(F.when(F.col("w") == bos, F.col("c"))), F.lit(0))).first()
-        total, distinct = total + docs_seen, distinct + (docs_seen > 0)
-
-        pairs = counts.where("pair").select("w1", "w2", "n").join(uni, F.col("w2") == F.col("w"), "left")
-        pairs = pairs.select("w1", "w2", "n", F.when(F.col("w2") == end, docs_seen).otherwise(F.coalesce("c", F.lit(0))).cast("long").alias("c2"))
-        level = uni.select(F.col("w").alias("w1"), F.lit(0).cast("long").alias("w2"), F.col("c").alias("n"), F.lit(-1).cast("long").alias("c2")).unionByName(pairs)
-        level = level.withColumn("shard", F.pmod(F.shiftrightunsigned("w1", 40), F.lit(shards)).cast("int"))
-
-        def build(key, rows: pd.DataFrame) -> pd.DataFrame:
-            two = rows["c2"].to_numpy() >= 0  # -1 marks words
-            u = lambda x: np.ascontiguousarray(x.to_numpy(dtype=np.int64)).view(np.uint64)
-            one, more = rows[~two], rows[two]
-            raw = Trie.build(u(one["w1"]), one["n"].to_numpy(), u(more["w1"]), u(more["w2"]), more["n"].to_numpy(), more["c2"].to_numpy(), total, distinct)
-            return pd.DataFrame({"shard": [key[0]], "trie": [raw]})
-
-        tries = cut(level.groupBy("shard").applyInPandas(build, "shard int, trie binary"), "lm-tries")
-
-        def weigh(key, rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-            trie = Trie(model["trie"].iloc[0]) if len(model) else None
-            got = []
-            for base, raw in zip(rows["base"], rows["blob"], strict=True):
-                words, a, b, n, per_doc, _ = unpack(raw)
-                n = n.astype(np.int64)
-                if trie is None:
-                    c, add = np.zeros(len(words), np.int64), np.zeros(len(a))
-                else:
-                    c, add = trie.look(words, a.astype(np.int64), b.astype(np.int64))
-                doc = np.repeat(np.arange(len(per_doc)), per_doc)
-                real = (words != np.uint64(BOS))[a]
-                times = n * real
-                d = len(per_doc)
-                x = np.stack([np.bincount(doc, times * np.log10(c + 0.5)[a], d), np.bincount(doc, n * add, d), np.bincount(doc, times * (c > 0)[a], d)])
-                some = np.flatnonzero(per_doc)
-                got.append(pd.DataFrame({"uid": base + some, "base_part": x[0, some], "gain": x[1, some], "known": x[2, some].astype(np.int64)}))
-            return pd.concat(got) if got else pd.DataFrame({"uid": [], "base_part": [], "gain": [], "known": []})
-
-        parts = blobs.groupBy("shard").cogroup(tries.groupBy("shard")).applyInPandas(weigh, "uid long, base_part double, gain double, known long")
-        sums = parts.groupBy("uid").agg(F.sum("base_part").alias("base_part"), F.sum("gain").alias("gain"), F.sum("known").alias("known"))
-        meta = sent.where("shard = -1").select("base", F.posexplode(F.arrays_zip("ids", "sizes"))).select((F.col("base") + F.col("pos")).alias("uid"), F.col("col.ids").alias(id_col), F.col("col.sizes").alias("n_tokens"))
-        norm = math.log10(total + 0.5 * (distinct + 1))
-        base = F.col("base_part") + math.log10(docs_seen + 0.5) - F.col("n_tokens") * norm
-        out = meta.join(sums, "uid").select(
-            id_col, (remainder(id_col, by) == held).alias("held_out"), "n_tokens", (F.col("known") + int(docs_seen > 0)).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score")
-        )
-        return cut(out, "lm")
-    finally:
-        spark.sql(f"drop table if exists {name}")
-
+    docs = docs.select(id_col, text_col)
+    train = docs.where(remainder(id_col, by) != held)
+    uni = cut(word_counts(train, text_col), "lm-words")
+    total, distinct, docs_seen = uni.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("w") == as_long(END), F.col("c"))), F.lit(0))).first()
+    norm = total + 0.5 * (distinct + 1)
+    begin = spark.range(1 if docs_seen else 0).select(F.lit(as_long(BOS)).alias("w"), F.lit(docs_seen).cast("long").alias("c"))
+    contexts = uni.where(F.col("w") != as_long(END)).unionByName(begin)
+    splits = F.greatest(F.lit(1), F.ceil(F.col("c") * shards / max(1, total))).cast("int")
+    many = np.array([tuple(r) for r in contexts.where(F.col("c") * shards > total).select("w", splits).collect()], np.int64).reshape(-1, 2)  # fewer than 2 * shards rows
+    at = np.argsort(many[:, 0].view(np.uint64)) if len(many) else np.zeros(0, np.int64)
+    hot = np.ascontiguousarray(many[at, 0]).view(np.uint64), many[at, 1].astype(np.uint64)
+
+    counted = messages(train, shards, hot, True, id_col, text_col).select("shard", "blob").repartition(shards, "shard")
+    pairs = cut(counted.groupBy("shard").applyInArrow(tally(least), "shard int, w1 long, w2 long, n long"), "lm-counts")
+    pairs = cut(pairs.join(uni.withColumnRenamed("w", "w2").withColumnRenamed("c", "c2"), "w2"), "lm-pairs")
+    mass = pairs.groupBy("w1").agg((F.sum("n") - DISCOUNT * F.count("*")).alias("kept"), (F.sum(F.col("c2") + 0.5) / norm).alias("lower"))
+    words = contexts.join(mass, F.col("w") == F.col("w1"), "left").select(
+        F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"), F.col("w").alias("w1"), F.col("c").alias("n"), F.coalesce(F.col("kept") / F.col("c"), F.lit(0.0)).alias("kept"), F.coalesce("lower", F.lit(0.0)).alias("lower")
+    )
+    home = F.pmod(F.shiftrightunsigned("w1", 40), F.lit(shards))
+    words = words.withColumn("shard", ((home + F.col("part")) % shards).cast("int")).drop("part")
+    level = words.unionByName(pairs.select("shard", "w1", "w2", "n", "c2"), allowMissingColumns=True)
+    tries = cut(level.groupBy("shard").applyInArrow(build(total, distinct), "shard int, trie binary"), "lm-tries")
+
+    blobs = messages(docs, shards, hot, False, id_col, text_col).repartition(shards, "shard")
+    parts = blobs.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(weigh, f"uid long, base_part double, gain double, known long, id {kind}, n_tokens long")
+    sums = parts.groupBy("uid").agg(*(F.sum(c).alias(c) for c in ("base_part", "gain", "known")), F.max("id").alias(id_col), F.max("n_tokens").alias("n_tokens"))
+    base = F.col("base_part") + math.log10(docs_seen + 0.5) - F.col("n_tokens") * math.log10(norm)
+    out = sums.select(id_col, (remainder(id_col, by) == held).alias("held_out"), "n_tokens", (F.col("known") + int(docs_seen > 0)).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+    return cut(out, "lm")

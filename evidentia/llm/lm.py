@@ -378,25 +378,40 @@ def tally(least: int):
 
 
 def weigh(key: tuple[pa.Scalar, ...], rows: pa.Table, model: pa.Table) -> pa.Table:
-    """A shard's blobs against its trie: sums by document; or ids and sizes, where the shard is below 0."""
-    names = ("uid", "base_part", "gain", "known", "id", "n_tokens")
-    kind, tables = rows.schema.field("ids").type.value_type, []
-    trie = Trie(model.column("trie")[0].as_buffer()) if len(model) else None
-    for base, raw, ids, sizes in zip(rows.column("base"), rows.column("blob"), rows.column("ids"), rows.column("sizes"), strict=True):
-        base = base.as_py()
+    """A shard's blobs against its trie: for each blob, sums by document of its batch in one packed row.
+    A row of ids and sizes, where the shard is below 0, goes on as it is."""
+    trie, packed = Trie(model.column("trie")[0].as_buffer()) if len(model) else None, []
+    for raw in rows.column("blob"):
         if not raw.is_valid:
-            d, x = len(ids.values), np.zeros((3, len(ids.values)))
-            some, own, n_tokens = np.arange(d), ids.values, sizes.values
-        else:
-            words, a, b, n, per_doc = unpack(raw.as_buffer())
-            n, d = n.astype(np.int64), len(per_doc)
-            c, add = trie.look(words, a.astype(np.int64), b.astype(np.int64)) if trie is not None else (np.zeros(len(words), np.int64), np.zeros(len(a)))
-            doc, times = np.repeat(np.arange(d), per_doc), n * (words != np.uint64(BOS))[a]
-            x = np.stack([np.bincount(doc, times * np.log10(c + 0.5)[a], d), np.bincount(doc, n * add, d), np.bincount(doc, times * (c > 0)[a], d)])
-            some = np.flatnonzero(per_doc)
-            own, n_tokens = pa.nulls(len(some), kind), pa.nulls(len(some), pa.int64())
-        tables.append(pa.table([pa.array(base + some), pa.array(x[0, some]), pa.array(x[1, some]), pa.array(x[2, some].astype(np.int64)), own, n_tokens], names))
-    return pa.concat_tables(tables or [pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.int64(), kind, pa.int64())], names)])
+            packed.append(None)
+            continue
+        words, a, b, n, per_doc = unpack(raw.as_buffer())
+        n, d = n.astype(np.int64), len(per_doc)
+        c, add = trie.look(words, a.astype(np.int64), b.astype(np.int64)) if trie is not None else (np.zeros(len(words), np.int64), np.zeros(len(a)))
+        doc, times = np.repeat(np.arange(d), per_doc), n * (words != np.uint64(BOS))[a]
+        some = np.flatnonzero(per_doc)
+        sums = [np.bincount(doc, x, d)[some] for x in (times * np.log10(c + 0.5)[a], n * add, times * (c > 0)[a])]
+        body = struct.pack("<Q", len(some)) + planes(np.diff(some, prepend=0), "<u4") + planes(sums[2], "<u4") + sums[0].astype("<f8").tobytes() + sums[1].astype("<f8").tobytes()
+        packed.append(zstandard.ZstdCompressor(level=1).compress(body))
+    return pa.table([rows.column("base"), pa.array(packed, pa.binary()), rows.column("ids"), rows.column("sizes")], ["base", "sums", "ids", "sizes"])
+
+
+def gather(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """A batch's packed sums, one of each shard that its documents reach, to one row a document. They hold no
+    more numbers than the batch has pairs."""
+    meta = rows.filter(rows.column("ids").is_valid())
+    ids, sizes = meta.column("ids")[0].values, meta.column("sizes")[0].values
+    total, known = np.zeros((2, len(ids))), np.zeros(len(ids), np.int64)
+    for raw in rows.column("sums"):
+        if raw.is_valid:
+            body = zstandard.ZstdDecompressor().decompress(raw.as_buffer())
+            (n,) = struct.unpack_from("<Q", body)
+            some, at = from_planes(body, "<u4", n, 8)
+            some = np.cumsum(some, dtype=np.int64)
+            more, at = from_planes(body, "<u4", n, at)
+            known[some] += more
+            total[:, some] += np.frombuffer(body, "<f8", 2 * n, at).reshape(2, n)
+    return pa.table([ids, sizes, pa.array(total[0]), pa.array(total[1]), pa.array(known)], ["id", "n_tokens", "base_part", "gain", "known"])
 
 
 def build(total: int, distinct: int):
@@ -443,8 +458,8 @@ def score(docs: DataFrame, by: int = 5, held: int = 1, least: int = 2, shards: i
     tries = cut(level.groupBy("shard").applyInArrow(build(total, distinct), "shard int, trie binary"), "lm-tries")
 
     blobs = messages(docs, shards, hot, False, id_col, text_col).repartition(shards, "shard")
-    parts = blobs.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(weigh, f"uid long, base_part double, gain double, known long, id {kind}, n_tokens long")
-    sums = parts.groupBy("uid").agg(*(F.sum(c).alias(c) for c in ("base_part", "gain", "known")), F.max("id").alias(id_col), F.max("n_tokens").alias("n_tokens"))
+    parts = blobs.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(weigh, f"base long, sums binary, ids array<{kind}>, sizes array<long>")
+    sums = parts.groupBy("base").applyInArrow(gather, f"id {kind}, n_tokens long, base_part double, gain double, known long").withColumnRenamed("id", id_col)
     base = F.col("base_part") + math.log10(docs_seen + 0.5) - F.col("n_tokens") * math.log10(norm)
     out = sums.select(id_col, (remainder(id_col, by) == held).alias("held_out"), "n_tokens", (F.col("known") + int(docs_seen > 0)).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
     return cut(out, "lm")

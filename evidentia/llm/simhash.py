@@ -29,6 +29,7 @@ from .common import components, cut
 
 SEED = 42
 PART = 1 << 16  # shingles whose bits are counted at once
+SALTS = 8  # parts of an id's rows in keep_one
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -155,6 +156,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """The rows of docs, with all their columns, whose id is the smallest of their class. Rows that repeat a
     kept id with the same text come once. Rows without an id can't be told apart and stay, equal texts once,
     where no row of their class has an id."""
-    ids = simhash_classes(docs, id_col, text_col, width, radius).where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("kept_id")).distinct()
-    ids = cut(ids, "kept")
-    return docs.join(ids, docs[id_col].eqNullSafe(ids.kept_id), "left_semi").dropDuplicates([id_col, text_col])
+    ids = simhash_classes(docs, id_col, text_col, width, radius).where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    # join and aggregate share one key, so texts are shuffled once; structs of nulls are equal, and the salt splits an id of many rows
+    key = "key"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    ids = cut(ids.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")), "kept").select(F.struct("id", "salt").alias(key))
+    rows = docs.withColumn(key, F.struct(F.col(id_col).alias("id"), F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("long").alias("salt")))
+    return rows.join(ids, key, "left_semi").dropDuplicates([key, id_col, text_col]).select(*docs.columns)

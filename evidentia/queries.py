@@ -244,7 +244,7 @@ def compare_ids(spark, sf):
 
 @query("select distinct user_id, event_type from events where event_id % 2 = 0")
 def union_of_groups(spark, sf):
-    e = table(spark, sf, "events").where("event_id % 2 = 0").select("user_id", "event_type")
+    e = table(spark, sf, "events").select("user_id", "event_type")
     return e.where("user_id % 3 = 0").unionByName(e.where("user_id % 3 <> 0")).distinct()
 
 

@@ -98,7 +98,7 @@ def commit_batch_identity(spark, sf):
 
 @query("select k, (row_number() over (order by k) - 1) // 50 as chunk from (select url || '#' || page_id as k from pages where page_id <= 10000000)")
 def manifest_chunks(spark, sf):
-    return P.chunks(table(spark, sf, "pages").where("page_id <= 10000000").select(F.concat_ws("#", "url", "page_id").alias("k")), "k", 50)
+    return P.chunks(table(spark, sf, "pages").select(F.concat_ws("#", "url", "page_id").alias("k")), "k", 50)
 
 
 @query("select chunk, count(*) as n, min(doc_id) as first_id, max(doc_id) as last_id from (select doc_id, (row_number() over (order by doc_id) - 1) // 200 as chunk from documents) group by chunk")

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 KEY = r"A-Za-z0-9+/_\-"
 #: starts where no key character precedes; a quick look ahead before the context is taken
 CANDIDATE = rf"(?<![{KEY}])(?=[A-Za-z+/_\-]*+[0-9][{KEY}]*+)(?=[{KEY}]{{16}})(?<=([\s\S]{{40}}|^[\s\S]{{0,39}}))([{KEY}]++={{0,2}})(?=([\s\S]{{0,24}}))|(?<![{KEY}])(?=[{KEY}]{{32}})(?<=([\s\S]{{40}}|^[\s\S]{{0,39}}))([{KEY}]++={{0,2}})(?=([\s\S]{{0,24}}))"
-QUICK = rf"(?<![{KEY}])(?:[A-Za-z+/_\-]{{0,15}}+[0-9](?<=[{KEY}]{{1,16}})[{KEY}]*+(?<=[{KEY}]{{16}})|[{KEY}]{{32}})"
+#: holds wherever CANDIDATE has a match
+QUICK = rf"(?<![{KEY}])(?=[{KEY}]{{16}})(?:[A-Za-z+/_\-]*+[0-9]|[{KEY}]{{32}})"
 DICTIONARY = "test example sample dummy placeholder your here user name file path image images assets static config version build number index page article product order item date home data value list table main class function method default local public system service server client request response static index content media upload download document report version release final draft copy item group type code line first last next".split()
 SECRET_WORDS = r"(?i)(token|secret|passw(or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret|signing)"
 OTHER_WORDS = r"(?i)(sha-?\d*|md5|commit|checksum|digest|hash|uuid|guid|etag|isbn|order|card|phone|tel|tracking|version|rev(ision)?|ref|build|file|img|image|src|href|id|serial|invoice)\W*$"

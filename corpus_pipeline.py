@@ -15,8 +15,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group that is alike to 0.8 stays: the one with the smallest id."""
+    return simhash.keep_dissimilar(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

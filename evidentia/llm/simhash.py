@@ -152,11 +152,11 @@ def hex16(c: str):
     return F.lpad(F.lower(F.hex(c)), 16, "0")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of docs, with all their columns, whose id is the smallest of their class. Rows that repeat a
-    kept id with the same text come once. Rows without an id can't be told apart and stay, equal texts once,
-    where no row of their class has an id."""
-    ids = simhash_classes(docs, id_col, text_col, width, radius).where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+def kept(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs, with all their columns, whose id is the smallest of their class (id, component_id).
+    Rows that repeat a kept id with the same text come once. Rows without an id can't be told apart and stay,
+    equal texts once, where no row of their class has an id."""
+    ids = classes.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
     # join and aggregate share one key, so texts are shuffled once; structs of nulls are equal, and the salt splits an id of many rows
     key = "key"
     while key in map(str.lower, docs.columns):
@@ -164,3 +164,86 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     ids = cut(ids.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")), "kept").select(F.struct("id", "salt").alias(key))
     rows = docs.withColumn(key, F.struct(F.col(id_col).alias("id"), F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("long").alias("salt")))
     return rows.join(ids, key, "left_semi").dropDuplicates([key, id_col, text_col]).select(*docs.columns)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+    """One row of each class of simhash_classes, see kept."""
+    return kept(docs, simhash_classes(docs, id_col, text_col, width, radius), id_col, text_col)
+
+
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the runs of `width` words; of all words where there are fewer."""
+    words = (text or "").encode().lower().split()
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+    digest, join, seed = xxhash.xxh64_intdigest, b" ".join, SEED
+    runs = zip(*(words[k : len(words) - width + 1 + k] for k in range(width)), strict=True)
+    return np.unique(np.fromiter((digest(join(x), seed) for x in runs), np.uint64, len(words) - width + 1))
+
+
+def band_hashes(h: np.ndarray, odd: np.ndarray, mask: np.ndarray, rows: int) -> np.ndarray:
+    """One hash of each band of `rows` least values under the permutations (h ^ mask) * odd."""
+    least = np.full(len(odd), np.iinfo(np.uint64).max)
+    for at in range(0, len(h), 256):
+        np.minimum(least, ((h[at : at + 256, None] ^ mask) * odd).min(axis=0), out=least)
+    out = np.arange(len(odd) // rows, dtype=np.uint64)
+    for x in least.reshape(-1, rows).T:
+        out = (out ^ x) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6) -> DataFrame:
+    """(id, component_id) for every row of docs: connected components of the texts whose sets of `width`-word
+    shingles have a Jaccard similarity of `least` or more. Pairs that share one of `bands` bands of `rows`
+    MinHash values are candidates (at 0.8 a pair is missed with probability (1 - 0.8 ** 6) ** 48, below 1e-6);
+    each is decided by its exact similarity. The least member of each bucket is compared with the others first,
+    then all candidates that this leaves in different classes."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    base = base.withColumn("t", F.xxhash64("text"))
+
+    def signed(batches):
+        r = np.random.default_rng(SEED)
+        odd, mask = r.integers(0, 1 << 64, (2, bands * rows), np.uint64)
+        odd |= np.uint64(1)
+        for b in batches:
+            got = [band_hashes(shingles(x.as_py(), width), odd, mask, rows).view(np.int64) for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64()))], ["id", "t", "bands"])
+
+    seen = cut(base.select("id", "t", "text").mapInArrow(signed, f"id {kind}, t long, bands array<long>"), "similar")
+    own = seen.groupBy("t").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
+    spread = own.select("t", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first <> last")
+    spread = cut(spread.join(shared.select("bucket", "first"), "bucket"), "buckets")
+    paired = spread.select("t").distinct()  # texts with a candidate
+
+    def sets(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), width).view(np.int64) for x in b.column(1)], pa.list_(pa.int64()))], ["t", "h"])
+
+    held = cut(base.select("t", "text").join(paired, "t", "left_semi").mapInArrow(sets, "t long, h array<long>").groupBy("t").agg(F.any_value("h").alias("h")), "shingles")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(held.select(F.col("t").alias("a"), F.col("h").alias("x")), "a").join(held.select(F.col("t").alias("b"), F.col("h").alias("y")), "b")
+        both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
+        return both.where(F.col("common") >= least * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+
+    stars = cut(spread.where("t <> first").select(F.col("first").alias("a"), F.col("t").alias("b")).distinct(), "stars")
+    linked = cut(alike(stars), "linked")
+    roots = components(linked)
+    placed = cut(spread.join(roots, spread.t == roots.node, "left").select("bucket", "t", F.coalesce("root", "t").alias("root")), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    placed = cut(placed.join(mixed, "bucket"), "placed")
+    other = placed.select("bucket", F.col("t").alias("b"), F.col("root").alias("root_b"))
+    more = placed.select("bucket", F.col("t").alias("a"), "root").join(other, "bucket").where("a < b and root <> root_b").select("a", "b").distinct()
+    more = cut(alike(more.join(stars, ["a", "b"], "left_anti")), "linked")
+    roots = components(linked.union(more))
+    own = own.join(roots, own.t == roots.node, "left").select("t", "rep", F.coalesce("root", "t").alias("root"))
+    ids = own.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return seen.select("id", "t").join(own.join(ids, "root").select("t", "component_id"), "t").select("id", "component_id")
+
+
+def keep_dissimilar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of each class of similar_classes, see kept."""
+    return kept(docs, similar_classes(docs, id_col, text_col, width, least), id_col, text_col)

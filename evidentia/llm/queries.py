@@ -43,7 +43,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(spark, sf_dir, "documents"))
+    return lm.score(table(spark, sf_dir, "documents"), least=1)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

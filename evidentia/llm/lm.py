@@ -16,8 +16,8 @@ the documents. The number of shards follows the size of the input.
 
 A shard's trie has sorted word hashes, monotone pointers into the pair level, and successors, each an
 Elias-Fano sequence; discounted probabilities and back-off weights are 8-bit codes of a codebook; the bytes
-are read in place, from a file by memory mapping or from a table's cell. A pair is looked up inside its
-context's range of successors.
+are read in place, from a table's cell, or from a file by memory mapping (Trie.open, which op8 doesn't use).
+A pair is looked up by one search over all keys of context and successor; the pointers are stored only.
 
 Defined cases: null and empty texts hold the end token alone. Null ids count as '' in the split. Repeated
 rows count as often as they come and each comes back. Without training rows all counts are zero. An empty

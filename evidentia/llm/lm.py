@@ -1,23 +1,27 @@
 """N-gram scoring with an Elias-Fano trie (as in Pibiri and Venturini, 2017), cut into shards by context.
 
-Learning counts every word and every pair of following words of all training documents, whatever their
-number. The unigram level is complete; the pair level keeps pairs seen `least` times or more, a pruning by
-count alone. Unigrams are smoothed by adding a half, pairs by an absolute discount whose mass goes back to
-the unigrams of the other words, so that each context's probabilities sum to one.
-
-Neither documents nor model are ever gathered. Words are counted first. Pairs then go to the shard of their
-context word, as one packed blob for each batch and shard; a context with more than a shard's share of all
-tokens is split over as many shards as it has shares, by the hash of the second word. Such contexts are
-fewer than the shards, so their list is small whatever the input. Counting sends each batch's pairs summed
-over its training documents; scoring sends them by document, and scores them in place against the shard's
-trie. Back-off weights come from sums over all of a context's pairs, so that its parts agree. Only sums by
-document travel on. Nothing but counts and tries is written, and a lost executor's blobs are made anew from
-the documents. The number of shards follows the size of the input.
-
-A shard's trie has sorted word hashes, monotone pointers into the pair level, and successors, each an
-Elias-Fano sequence; discounted probabilities and back-off weights are 8-bit codes of a codebook; the bytes
-are read in place, from a table's cell, or from a file by memory mapping (Trie.open, which op8 doesn't use).
-A pair is looked up by one search over all keys of context and successor; the pointers are stored only.
+Learning counts every word and every pair of following words of all training documents; none is pruned.
+Unigrams are smoothed by adding a half. A pair's probability is its discounted share of its context plus the
+discount's mass times the second word's unigram (interpolated absolute discounting), so that each context's
+probabilities sum to one.
+
+Neither documents nor model are ever gathered. Documents are parsed once, into batches of about `at_once`
+bytes that are written as a table: ids, word hashes, and the words' numbers in order. Each batch sends its
+distinct words, with their training counts, to word shards, which sum the counts and answer them. It sends
+its distinct pairs, with their training counts, to the shards of their contexts. A shard sums the counts,
+builds its trie, writes it to the shared folder, maps it, looks up each distinct pair once, and answers one
+code a pair; the batch adds the answers up by document. So training and scoring share one message. A context
+with more than a shard's share of all tokens is split over as many shards as it has shares, by the hash of
+the second word; such contexts are fewer than the shards, so their list is small whatever the input, and the
+sums over a split context's parts are put together from it. The number of shards follows the number of tokens.
+Messages number batches times shards.
+
+A shard's trie has sorted word hashes; the contexts among them; monotone pointers into the pair level; and the
+pair level itself, each context's successors as ranks raised by the last value before, so that the level is
+monotone. All four are Elias-Fano sequences whose upper bits stay packed, with a directory of ones for each
+512 bits. A pair is looked up among its context's successors, between two pointers. Discounted probabilities
+and interpolation weights are 16-bit codes on a fixed grid, so that scores don't depend on the number of
+shards. The levels are read in place from the mapped file (from bytes where the folder is no local one).
 
 Defined cases: null and empty texts hold the end token alone. Null ids count as '' in the split. Repeated
 rows count as often as they come and each comes back. Without training rows all counts are zero. An empty
@@ -26,440 +30,480 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-import math
 import struct
-from collections import Counter
+import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, remainder
+from .common import cut, open_path, remainder, shared_dir
 
 BOS, END = xxhash.xxh64_intdigest(b" ", 0), xxhash.xxh64_intdigest(b"\n", 0)  # no word has a blank
 DISCOUNT = 0.75
-AT_ONCE = 1 << 20  # pairs counted at once
+BLOCK = 8  # words of 64 bits in a directory entry
+GRID = 2048  # codes for a factor of ten
+U = np.uint64
 
 
-def as_long(x: int) -> int:
-    """The signed number of the same 64 bits."""
-    return x - (1 << 64) if x >= 1 << 63 else x
+def select_in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) in each word."""
+    place = np.zeros(len(w), np.int64)
+    for wide in (32, 16, 8, 4, 2, 1):
+        low = w & U((1 << wide) - 1)
+        ones = np.bitwise_count(low).astype(np.int64)
+        on = r >= ones
+        r = np.where(on, r - ones, r)
+        w = np.where(on, w >> U(wide), low)
+        place += on * wide
+    return place
 
 
 class EliasFano:
-    """Sorted unsigned numbers in about 2 + log2(universe / n) bits each."""
+    """Sorted unsigned numbers in about 2 + log2(universe / n) bits each, read in place."""
 
     def __init__(self, raw: bytes | memoryview, at: int = 0):
-        self.n, self.low, low_bytes, high_bytes = struct.unpack_from("<QQQQ", raw, at)
-        at += 32
+        self.n, self.low, self.top, low_bytes, blocks = struct.unpack_from("<5Q", raw, at)
+        at += 40
         self.lows = np.ndarray((low_bytes - 7,), "<u8", raw, at, (1,))
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8, high_bytes, at + low_bytes), bitorder="little")
-        zeros = np.flatnonzero(bits[: len(bits)] == 0)
-        self.starts = (zeros - np.arange(len(zeros))).astype(np.int64)  # elements before each zero: ends of the buckets
-        self.end = at + low_bytes + high_bytes
+        at += low_bytes
+        self.highs = np.ndarray((blocks * BLOCK,), "<u8", raw, at)
+        at += 8 * blocks * BLOCK
+        self.ones = np.ndarray((blocks + 1,), "<i8", raw, at)  # before each block
+        self.end = at + 8 * (blocks + 1)
 
     @staticmethod
     def pack(values: np.ndarray) -> bytes:
         n = len(values)
         top = int(values[-1]) if n else 0
-        low = min(56, max(0, (top // max(n, 1)).bit_length() - 1)) if n else 0
-        v = values.astype(np.uint64)
-        high = (v >> np.uint64(low)).astype(np.int64)
-        size = n + (int(high[-1]) if n else 0) + 2
-        bits = np.zeros(size, np.uint8)
+        low = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
+        v = values.astype(U)
+        high = (v >> U(low)).astype(np.int64)
+        last = int(high[-1]) if n else 0
+        blocks = (n + last + 1 + 64 * BLOCK) // (64 * BLOCK)
+        bits = np.zeros(blocks * 64 * BLOCK, np.uint8)
         bits[high + np.arange(n)] = 1
-        highs = np.packbits(bits, bitorder="little").tobytes()
-        lows = np.zeros((n * low >> 6) + 2, np.uint64)
+        highs = np.packbits(bits, bitorder="little").view("<u8")
+        ones = np.append(0, np.cumsum(np.bitwise_count(highs).reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)))
+        lows = np.zeros((n * low >> 6) + 2, U)
         if low and n:
-            part, at = v & np.uint64((1 << low) - 1), np.arange(n, dtype=np.int64) * low
-            slot, shift = at >> 6, (at & 63).astype(np.uint64)
+            part, at = v & U((1 << low) - 1), np.arange(n, dtype=np.int64) * low
+            slot, shift = at >> 6, (at & 63).astype(U)
             starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
             lows[slot[starts]] |= np.bitwise_or.reduceat(part << shift, starts)
-            over = np.flatnonzero(shift + np.uint64(low) > np.uint64(64))  # one a word at most
-            lows[slot[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
+            over = np.flatnonzero(shift + U(low) > U(64))  # one a word at most
+            lows[slot[over] + 1] |= part[over] >> (U(64) - shift[over])
         packed = lows.astype("<u8").tobytes() + b"\0" * 8
-        return struct.pack("<QQQQ", n, low, len(packed), len(highs)) + packed + highs
+        return struct.pack("<5Q", n, low, last, len(packed), blocks) + packed + highs.tobytes() + ones.astype("<i8").tobytes()
 
     def lower(self, i: np.ndarray) -> np.ndarray:
         at = i * self.low
-        return (self.lows[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)
+        return (self.lows[at >> 3] >> (at & 7).astype(U)) & U((1 << self.low) - 1)
+
+    def select(self, i: np.ndarray, zeros: bool = False) -> np.ndarray:
+        """Place of the i-th one, or zero, of the upper bits."""
+        before = np.arange(len(self.ones)) * (64 * BLOCK) - self.ones if zeros else self.ones
+        block = np.searchsorted(before, i, "right") - 1
+        words = self.highs[block[:, None] * BLOCK + np.arange(BLOCK)]
+        if zeros:
+            words = ~words
+        sums = np.cumsum(np.bitwise_count(words).astype(np.int64), axis=1)
+        rest = i - before[block]
+        word = (sums <= rest[:, None]).sum(axis=1)
+        rows = np.arange(len(i))
+        rest = rest - np.where(word > 0, sums[rows, word - 1], 0)
+        return (block * BLOCK + word) * 64 + select_in_word(words[rows, word], rest)
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return (self.select(i) - i).astype(U) << U(self.low) | self.lower(i)
 
     def all(self) -> np.ndarray:
-        i = np.arange(self.n)
-        return (np.searchsorted(self.starts, i, "right").astype(np.uint64) << np.uint64(self.low)) | self.lower(i)
-
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, -1 where it isn't there."""
-        v = values.astype(np.uint64)
-        out, high = np.full(len(v), -1, np.int64), (v >> np.uint64(self.low))
-        ok = high < np.uint64(len(self.starts))
-        high = np.where(ok, high, 0).astype(np.int64)
-        a, b = np.where(high > 0, self.starts[high - 1], 0), np.where(ok, self.starts[high], 0)
-        want = v & np.uint64((1 << self.low) - 1)
-        end, rows = b.copy(), np.flatnonzero(a < b)
-        while len(rows):  # a bucket may be as large as a frequent context's successors: halve it
-            mid = (a[rows] + b[rows]) >> 1
-            less = self.lower(mid) < want[rows]
-            a[rows[less]] = mid[less] + 1
-            b[rows[~less]] = mid[~less]
-            rows = rows[a[rows] < b[rows]]
-        rows = np.flatnonzero(ok & (a < end))
-        rows = rows[self.lower(a[rows]) == want[rows]]
-        out[rows] = a[rows]
+        return self.get(np.arange(self.n)) if self.n else np.zeros(0, U)
+
+    def find(self, values: np.ndarray, first: np.ndarray | None = None, after: np.ndarray | None = None) -> np.ndarray:
+        """Index of each value, between first and after where they are given; -1 where it isn't there."""
+        out = np.full(len(values), -1, np.int64)
+        high = values.astype(U) >> U(self.low)
+        rows = np.flatnonzero(high <= U(self.top)) if self.n else np.zeros(0, np.int64)
+        h = high[rows].astype(np.int64)
+        a, b = np.zeros(len(rows), np.int64), self.select(h, True) - h
+        a[h > 0] = self.select(h[h > 0] - 1, True) - (h[h > 0] - 1)
+        if first is not None:
+            a, b = np.maximum(a, first[rows]), np.minimum(b, after[rows])
+        want, end = values[rows].astype(U) & U((1 << self.low) - 1), b.copy()
+        live = np.flatnonzero(a < b)
+        while len(live):  # halve what has equal upper bits
+            mid = (a[live] + b[live]) >> 1
+            less = self.lower(mid) < want[live]
+            a[live[less]] = mid[less] + 1
+            b[live[~less]] = mid[~less]
+            live = live[a[live] < b[live]]
+        hit = np.flatnonzero(a < end)
+        hit = hit[self.lower(a[hit]) == want[hit]]
+        out[rows[hit]] = a[hit]
         return out
 
 
-def quantise(x: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Codebook and codes: the values themselves or else evenly spread quantiles, the nearest one for each value."""
-    if not len(x):
-        return np.zeros(1), np.zeros(0, np.uint8)
-    book = np.unique(x)
-    if len(book) > levels:
-        book = np.unique(np.quantile(x, np.linspace(0, 1, levels)))
-    i = np.clip(np.searchsorted(book, x), 1, max(1, len(book) - 1))
-    if len(book) > 1:
-        i = np.where(x - book[i - 1] < book[i] - x, i - 1, i)
-    else:
-        i = np.zeros(len(x), np.int64)
-    return book, i.astype(np.uint8)
+def coded(p: np.ndarray) -> np.ndarray:
+    """Codes from 1 of numbers in (0, 1]: steps of a GRID-th of a factor of ten."""
+    return (1 + np.minimum(np.rint(-np.log10(p) * GRID), 65534)).astype(np.uint16)
 
 
-class Trie:
-    """Two levels: words with counts and back-off, successors with gains over the unigram.
+def decoded(code: np.ndarray, none: float) -> np.ndarray:
+    """The numbers again; `none` for code 0."""
+    return np.where(code > 0, 10.0 ** ((1 - code.astype(float)) / GRID), none)
+
 
-    log10 p(b | a) is log10 p(b) + gain where the pair is kept, else log10 p(b) + back-off of a."""
+class Trie:
+    """Two levels: words, and the successors of those that are contexts, with a code each for
+    the discounted share (successors) and the interpolation weight (contexts)."""
 
     def __init__(self, raw: bytes | memoryview):
-        n_books = struct.unpack_from("<QQQ", raw, 0)
-        self.words = EliasFano(raw, 24)
-        self.contexts = EliasFano(raw, self.words.end)  # ranks, in words, of those that are contexts or counted
+        self.words = EliasFano(raw)
+        self.contexts = EliasFano(raw, self.words.end)  # as ranks in words
         self.pointers = EliasFano(raw, self.contexts.end)
         self.successors = EliasFano(raw, self.pointers.end)
         at = self.successors.end
-        n, m = self.contexts.n, self.successors.n
-        self.counts = np.ndarray((n,), "<i8", raw, at)
-        self.back_book = np.ndarray((n_books[0],), "<f8", raw, at + 8 * n)
-        at += 8 * (n + n_books[0])
-        self.gain_book = np.ndarray((n_books[1],), "<f8", raw, at)
-        at += 8 * n_books[1]
-        self.back, self.gain = np.ndarray((n,), np.uint8, raw, at), np.ndarray((m,), np.uint8, raw, at + n)
+        self.weight = np.ndarray((self.contexts.n,), "<u2", raw, at)
+        self.share = np.ndarray((self.successors.n,), "<u2", raw, at + 2 * self.contexts.n)
 
     @classmethod
-    def open(cls, path: str) -> Trie:
-        """From a file, by memory mapping."""
-        return cls(memoryview(np.memmap(path, np.uint8, "r")))
+    def open(cls, uri: str) -> Trie:
+        """From a file: by memory mapping, or whole where the folder is no local one."""
+        if uri.startswith(("file:", "/")):
+            return cls(memoryview(np.memmap("/" + uri.removeprefix("file:").lstrip("/"), np.uint8, "r")))
+        with open_path(uri, "rb") as f:
+            return cls(f.read())
 
     @staticmethod
-    def build(words: np.ndarray, counts: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, second_count: np.ndarray, total: int, distinct: int, discount: float = DISCOUNT, mass: tuple[np.ndarray, np.ndarray] | None = None) -> bytes:
-        """From word hashes with counts, and kept pairs of hashes with their counts and the second words' counts.
-        mass: for each word, its kept pairs' probability and their second words' unigram probability, where
-        the pairs given are a part of them."""
-        order_of = np.argsort(words)
-        words, counts = words[order_of], counts[order_of]
-        every = np.unique(np.concatenate([words, second]))
-        rank, nxt = np.searchsorted(every, words), np.searchsorted(every, second)
-        own = np.searchsorted(words, first)
-        order = np.lexsort((nxt, own))
-        own, nxt, pair, second_count = own[order], nxt[order], pair[order].astype(float), second_count[order]
-        uni = (second_count + 0.5) / (total + 0.5 * (distinct + 1))
-        p = (pair - discount) / counts[own]
-        kept, lower = (np.bincount(own, p, len(words)), np.bincount(own, uni, len(words))) if mass is None else (mass[0][order_of], mass[1][order_of])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            back = np.where(kept > 0, np.log10(np.maximum(1 - kept, 1e-9) / np.maximum(1 - lower, 1e-9)), 0.0)
-        books = quantise(back), quantise(np.log10(p / uni) if len(p) else np.zeros(0))
-        pointers = np.append(0, np.cumsum(np.bincount(own, minlength=len(words)))).astype(np.uint64)
-        keys = own.astype(np.uint64) * np.uint64(len(every)) + nxt.astype(np.uint64)
+    def build(first: np.ndarray, second: np.ndarray, pair: np.ndarray, totals: np.ndarray, discount: float = DISCOUNT) -> bytes:
+        """From distinct pairs of word hashes with counts and their contexts' totals."""
+        words = np.unique(np.concatenate([first, second]))
+        a, b = np.searchsorted(words, first), np.searchsorted(words, second)
+        order = np.lexsort((b, a))
+        a, b, pair, totals = a[order], b[order], pair[order], totals[order]
+        starts = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(a)) if len(a) else starts
+        base = np.cumsum(b[ends - 1]) - b[ends - 1] if len(a) else b
         return b"".join(
-            [struct.pack("<QQQ", len(books[0][0]), len(books[1][0]), 0), EliasFano.pack(every), EliasFano.pack(rank.astype(np.uint64)), EliasFano.pack(pointers), EliasFano.pack(keys)]
-            + [counts.astype("<i8").tobytes(), books[0][0].astype("<f8").tobytes(), books[1][0].astype("<f8").tobytes(), books[0][1].tobytes(), books[1][1].tobytes()]
+            [EliasFano.pack(words), EliasFano.pack(a[starts].astype(U)), EliasFano.pack(np.append(starts, len(a)).astype(U)), EliasFano.pack((np.repeat(base, ends - starts) + b).astype(U))]
+            + [coded(discount * (ends - starts) / totals[starts]).astype("<u2").tobytes(), coded((pair - discount) / totals).astype("<u2").tobytes()]
         )
 
-    def look(self, words: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """words: hashes; a, b: places in words. Counts of the words, and each pair's gain or back-off."""
-        rank = self.words.find(words)
-        own = np.full(len(words), -1, np.int64)
-        some = rank >= 0
-        own[some] = self.contexts.find(rank[some].astype(np.uint64))
-        counts = np.where(own >= 0, self.counts[own] if len(self.counts) else 0, 0)
-        c, s = own[a], rank[b]
-        add = np.zeros(len(a))
-        if len(self.back):
-            add[c >= 0] = self.back_book[self.back[c[c >= 0]]]
-        ask = np.flatnonzero((c >= 0) & (s >= 0))
-        if len(ask) and self.successors.n:
-            at = self.successors.find(c[ask].astype(np.uint64) * np.uint64(self.words.n) + s[ask].astype(np.uint64))  # inside the context's range
-            add[ask[at >= 0]] = self.gain_book[self.gain[at[at >= 0]]]
-        return counts, add
+    def look(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, at_once: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+        """words: distinct hashes; a, b: places in words. Codes: weight of each word as a context, share of each
+        pair; 0 where training hasn't seen it."""
+        rank, own = self.words.find(words), np.full(len(words), -1, np.int64)
+        some = np.flatnonzero(rank >= 0)
+        own[some] = self.contexts.find(rank[some].astype(U))
+        seen = np.flatnonzero(own >= 0)
+        lo, hi, base = np.zeros((3, len(words)), np.int64)
+        lo[seen], hi[seen] = self.pointers.get(own[seen]).astype(np.int64), self.pointers.get(own[seen] + 1).astype(np.int64)
+        later = seen[lo[seen] > 0]
+        base[later] = self.successors.get(lo[later] - 1).astype(np.int64)
+        weight, share = np.zeros(len(words), np.uint16), np.zeros(len(a), np.uint16)
+        weight[seen] = self.weight[own[seen]]
+        for k in range(0, len(a), at_once):
+            ask = k + np.flatnonzero((own[a[k : k + at_once]] >= 0) & (rank[b[k : k + at_once]] >= 0))
+            x = a[ask]
+            at = self.successors.find((base[x] + rank[b[ask]]).astype(U), lo[x], hi[x])
+            share[ask[at >= 0]] = self.share[at[at >= 0]]
+        return weight, share
 
 
 def planes(x: np.ndarray, kind: str) -> bytes:
     """Bytes of equal rank together: they pack better."""
-    return np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), -1).T.tobytes()
-
-
-def from_planes(raw: bytes, kind: str, n: int, at: int) -> tuple[np.ndarray, int]:
-    k = np.dtype(kind).itemsize
-    x = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * k, at).reshape(k, n).T).view(kind).reshape(n)
-    return x, at + n * k
-
+    return np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(len(x), np.dtype(kind).itemsize).T.tobytes()
 
-def pack(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, per_doc: np.ndarray) -> bytes:
-    """words sorted; a ascends inside a document, so its differences are small."""
-    kind = "<u2" if len(words) <= 1 << 16 else "<u4"
-    times = "<u1" if not len(n) or n.max() < 256 else "<u4"
-    head = struct.pack("<QQQQQ", len(words), len(a), len(per_doc), int(kind[-1]), int(times[-1]))
-    body = planes(np.diff(words.astype("<u8"), prepend=np.uint64(0)), "<u8") + planes(np.diff(a, prepend=0), kind) + planes(b, kind) + planes(n, times) + planes(per_doc, "<u4")
-    return zstandard.ZstdCompressor(level=1).compress(head + body)
 
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned numbers, each in the fewest bytes that hold them."""
+    head, body = [struct.pack("<Q", len(arrays))], []
+    for x in arrays:
+        top = int(x.max()) if len(x) else 0
+        kind = next(k for k in (1, 2, 4, 8) if top < 1 << 8 * k)
+        head.append(struct.pack("<QQ", len(x), kind))
+        body.append(planes(x, f"<u{kind}"))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(head + body))
 
-def pairs_in(raw: bytes | pa.Buffer) -> int:
-    with zstandard.ZstdDecompressor().stream_reader(raw) as f:
-        return struct.unpack("<QQ", f.read(16))[1]
 
-
-def unpack(raw: bytes | pa.Buffer) -> tuple[np.ndarray, ...]:
+def unpacked(raw: bytes | pa.Buffer) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(raw)
-    w, m, d, kind, times = struct.unpack_from("<QQQQQ", raw)
-    out, at = [], 40
-    for n, t in ((w, "<u8"), (m, f"<u{kind}"), (m, f"<u{kind}"), (m, f"<u{times}"), (d, "<u4")):
-        x, at = from_planes(raw, t, n, at)
-        out.append(x)
-    out[0], out[1] = np.cumsum(out[0], dtype="<u8"), np.cumsum(out[1], dtype=f"<u{kind}")  # modulo the width, as the differences are
-    return tuple(out)
-
-
-def shards_of(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Shard of each pair: that of its context, or one of several from there on where the context is hot.
-    hot: sorted hashes of such contexts, and the number of shards of each."""
-    home, parts = (hashes >> np.uint64(40)) % np.uint64(shards), np.ones(len(hashes), np.uint64)
-    if len(hot[0]):
-        at = np.minimum(np.searchsorted(hot[0], hashes), len(hot[0]) - 1)
-        parts = np.where(hot[0][at] == hashes, hot[1][at], parts)
-    return ((home[a] + (hashes >> np.uint64(32))[b] % parts[a]) % np.uint64(shards)).astype(np.int64)
-
-
-def word_counts(docs: DataFrame, text_col: str = "text", at_once: int = 200_000) -> DataFrame:
-    """(w, c): hash and count of every word and of the end token, summed by task before they travel."""
-
-    def each(batches):
-        count: Counter[bytes] = Counter()
-        ends = 0
-
-        def out():
-            w = np.fromiter((xxhash.xxh64_intdigest(x) for x in count), np.uint64, len(count))
-            got = pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(list(count.values()), pa.int64())], ["w", "c"])
-            count.clear()
-            return got
+    (n,) = struct.unpack_from("<Q", raw)
+    at, out = 8 + 16 * n, []
+    for i in range(n):
+        size, kind = struct.unpack_from("<QQ", raw, 8 + 16 * i)
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, size * kind, at).reshape(kind, size).T).view(f"<u{kind}").reshape(size))
+        at += size * kind
+    return out
 
-        for batch in batches:
-            for t in batch.column(0):
-                count.update((t.as_py() or "").encode().lower().split())
-                ends += 1
-                if len(count) >= at_once:
-                    yield out()
-        yield out()
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array([as_long(END)], pa.int64()), pa.array([ends], pa.int64())], ["w", "c"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(each, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of a sorted array, from zero."""
+    return np.diff(x, prepend=x.dtype.type(0))
 
 
-def messages(docs: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarray], summed: bool, id_col: str = "doc_id", text_col: str = "text", at_once: int = 4 << 20) -> DataFrame:
-    """(shard, base, blob, ids, sizes): a blob of counted pairs for each batch and shard. summed: pairs count
-    over the batch, else by document; base + place in the batch then names a document, and a row with a
-    shard below 0, spread like the others, holds the batch's ids and numbers of tokens."""
+def batches(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text", at_once: int = 8 << 20) -> DataFrame:
+    """(batch, ids, body, trained, tokens): documents of about at_once bytes together. body: word hashes, the words'
+    numbers in order, each document's number of words, and whether it trains; trained, tokens: number of
+    training documents and their tokens."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"shard int, base long, blob binary, ids array<{kind}>, sizes array<long>"
 
-    def each(batches):
+    def each(rows):
         base, digest = TaskContext.get().partitionId() << 36, xxhash.xxh64_intdigest
+        ids, parts, fit, number, held = [], [], [], {}, 0
 
-        def row(k, blob, ids, sizes, kind):
-            return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([base], pa.int64()), pa.array([blob], pa.binary()), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64()))], ["shard", "base", "blob", "ids", "sizes"])
-
-        def out(ids, texts, kind):
+        def out(field):
             nonlocal base
-            number: dict[bytes, int] = {}
-            parts = []
-            for t in texts:
-                words = t.split()
-                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
-            n_words, n_docs = len(number), 1 if summed else len(parts)
-            hashes = np.fromiter((digest(w) for w in number), np.uint64, n_words)
-            hashes = np.append(hashes, np.array([BOS, END], np.uint64))
-            del number
-            sizes = np.array([len(p) for p in parts], np.int64)
-            ends = np.cumsum(sizes + 1)
-            flat = np.concatenate(parts) if len(parts) else np.zeros(0, np.int64)
-            total = int(ends[-1])
-            last, first = np.zeros(total, bool), np.zeros(total, bool)
-            last[ends - 1] = True
-            first[ends - 1 - sizes] = True
-            b, a = np.full(total, n_words + 1, np.int64), np.full(total, n_words, np.int64)
-            b[~last], a[~first] = flat, flat
-            doc = np.zeros(total, np.int64) if summed else np.repeat(np.arange(len(parts)), sizes + 1)
-            del flat, parts, last, first
-            m = n_words + 2
-            s = shards_of(hashes, a, b, shards, hot)
-            order = np.argsort(((s * n_docs + doc) * m + a) * m + b) if shards * n_docs * m * m < 1 << 62 else np.lexsort((b, a, doc, s))
-            a, b, doc, s = a[order], b[order], doc[order], s[order]
-            starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1])))
-            n = np.diff(np.append(starts, len(a)))
-            a, b, doc, s = a[starts], b[starts], doc[starts], s[starts]
-            cuts = np.searchsorted(s, np.arange(shards + 1))
-            place = np.zeros(m, np.int64)
-            for k in np.unique(s).tolist():
-                lo, hi = cuts[k], cuts[k + 1]
-                used = np.unique(np.concatenate([a[lo:hi], b[lo:hi]]))
-                used = used[np.argsort(hashes[used])]
-                place[used] = np.arange(len(used))
-                x, y, z = place[a[lo:hi]], place[b[lo:hi]], doc[lo:hi]
-                by = np.argsort((z * len(used) + x) * len(used) + y)
-                yield row(k, pack(hashes[used], x[by], y[by], n[lo:hi][by], np.bincount(z, minlength=n_docs)), None, None, kind)
-            if not summed:
-                yield row(-1 - (base ^ base >> 36) % shards, None, ids, (sizes + 1).tolist(), kind)
-            base += len(sizes)
-
-        for batch in batches:
-            ids, texts, held = [], [], 0
-            for i, t in zip(batch.column(0), batch.column(1), strict=True):
+            sizes, fit_now = np.array([len(p) for p in parts], np.int64), np.array(fit, np.int64)
+            tokens = np.concatenate(parts)
+            count = np.bincount(tokens, minlength=len(number))
+            order = np.argsort(-count, kind="stable")  # frequent words get small numbers
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            hashes = np.fromiter((digest(w) for w in number), U, len(number))[order]
+            body = packed(hashes, place[tokens], sizes, fit_now)
+            got = pa.RecordBatch.from_arrays([pa.array([base], pa.int64()), pa.array([ids], pa.list_(field.type)), pa.array([body], pa.binary()), pa.array([int(fit_now.sum())], pa.int64()), pa.array([int(((sizes + 1) * fit_now).sum())], pa.int64())], ["batch", "ids", "body", "trained", "tokens"])
+            base += 1
+            for x in (ids, parts, fit, number):
+                x.clear()
+            return got
+
+        for b in rows:
+            for i, t, f in zip(*b.columns, strict=True):
+                text = (t.as_py() or "").encode()
+                words = text.lower().split()
                 ids.append(i.as_py())
-                texts.append((t.as_py() or "").encode().lower())
-                held += len(texts[-1]) + 64
+                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+                fit.append(f.as_py())
+                held += len(text) + 64
                 if held >= at_once:
-                    yield from out(ids, texts, batch.schema.field(0).type)
-                    ids, texts, held = [], [], 0
-            if ids:
-                yield from out(ids, texts, batch.schema.field(0).type)
+                    yield out(b.schema.field(0))
+                    held = 0
+            field = b.schema.field(0)
+        if ids:
+            yield out(field)
+
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), F.col(train).cast("int")).mapInArrow(each, f"batch long, ids array<{kind}>, body binary, trained long, tokens long")
+
+
+def split_words(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of words by shard and hash, and where each shard starts in it."""
+    home = ((hashes >> U(40)) % U(shards)).astype(np.int64)
+    order = np.lexsort((hashes, home))
+    return order, np.searchsorted(home[order], np.arange(shards + 1))
+
+
+class Pairs:
+    """A batch's distinct pairs, by shard, context and second word; the same wherever they are made."""
+
+    def __init__(self, hashes: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, shards: int, hot: tuple[np.ndarray, np.ndarray]):
+        m = len(hashes) + 2
+        hashes = np.append(hashes, np.array([BOS, END], U))
+        self.by_hash = np.argsort(hashes)
+        self.hashes = hashes[self.by_hash]
+        rank = np.empty(m, np.int64)
+        rank[self.by_hash] = np.arange(m)
+        ends = np.cumsum(sizes + 1)
+        last, first = np.zeros(int(ends[-1]), bool), np.zeros(int(ends[-1]), bool)
+        last[ends - 1] = True
+        first[ends - 1 - sizes] = True
+        self.second = np.full(len(last), m - 1, np.int64)  # END, as a word's number
+        self.second[~last] = tokens
+        b, a = rank[self.second], np.full(len(last), rank[m - 2], np.int64)
+        a[~first] = rank[tokens]
+        home, parts = (self.hashes >> U(40)) % U(shards), np.ones(m, U)
+        if len(hot[0]):
+            at = np.minimum(np.searchsorted(hot[0], self.hashes), len(hot[0]) - 1)
+            parts = np.where(hot[0][at] == self.hashes, hot[1][at], parts)
+        s = ((home[a] + (self.hashes >> U(32))[b] % parts[a]) % U(shards)).astype(np.int64)
+        if shards * m * m < 1 << 62:
+            key, self.of = np.unique((s * m + a) * m + b, return_inverse=True)  # of: pair of each token
+            self.b, key = key % m, key // m
+            self.a, s = key % m, key // m
+        else:
+            order = np.lexsort((b, a, s))
+            s, a, b = s[order], a[order], b[order]
+            new = np.append(True, (s[1:] != s[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            self.of = np.empty(len(order), np.int64)
+            self.of[order] = np.cumsum(new) - 1
+            s, self.a, self.b = s[new], a[new], b[new]
+        self.cuts = np.searchsorted(s, np.arange(shards + 1))
+        self.parts = np.unique(s)
+
+    def contexts(self, k: int) -> np.ndarray:
+        """First pair of each context of a shard's pairs."""
+        a = self.a[self.cuts[k] : self.cuts[k + 1]]
+        return np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+
+
+def word_messages(held: DataFrame, shards: int) -> DataFrame:
+    """(shard, batch, body): a batch's words of a shard, with their training counts."""
+
+    def each(rows):
+        for r in rows:
+            for batch, body in zip(r.column(0), r.column(1), strict=True):
+                hashes, tokens, sizes, fit = unpacked(body.as_buffer())
+                count = np.bincount(tokens[np.repeat(fit, sizes).astype(bool)], minlength=len(hashes))
+                order, cuts = split_words(hashes, shards)
+                some = np.flatnonzero(cuts[1:] > cuts[:-1])
+                bodies = [packed(steps(hashes[order[cuts[k] : cuts[k + 1]]]), count[order[cuts[k] : cuts[k + 1]]]) for k in some]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([batch.as_py()] * len(some), pa.int64()), pa.array(bodies, pa.binary())], ["shard", "batch", "body"])
+
+    return held.select("batch", "body").mapInArrow(each, "shard int, batch long, body binary")
+
+
+def count_words(shards: int, total: int):
+    """A shard's messages to answers: the training count of each word asked for. One more row, without a batch,
+    has the shard's number of words that training saw, and those with more than a shard's share of all tokens."""
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(each, schema)
+    def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        asked = [unpacked(x.as_buffer()) for x in rows.column("body")]
+        words, back = np.unique(np.concatenate([np.cumsum(w, dtype=U) for w, _ in asked]), return_inverse=True)
+        count = np.bincount(back, np.concatenate([c for _, c in asked])).astype(np.int64)
+        ends = np.cumsum([len(w) for w, _ in asked])
+        bodies = [packed(count[back[e - len(w) : e]]) for e, (w, _) in zip(ends, asked, strict=True)]
+        hot = count * shards > total
+        own = packed(np.array([np.count_nonzero(count)]), words[hot], count[hot])
+        batch = pa.concat_arrays([rows.column("batch").combine_chunks(), pa.array([None], pa.int64())])
+        return pa.table([batch, pa.array([key[0].as_py()] * len(batch), pa.int32()), pa.array([*bodies, own], pa.binary())], ["batch", "part", "body"])
 
+    return each
 
-def tally(least: int):
-    """A shard's blobs to its kept pairs (shard, w1, w2, n)."""
 
-    def part(blobs: list, k: int, parts: int) -> pa.Table:
-        """Of the pairs whose hashes say k, so that a hot context is counted in parts, too."""
-        words, a, b, n, at = [], [], [], [], 0
-        for raw in blobs:
-            w, x, y, times, _ = unpack(raw)
-            use = np.flatnonzero(((w >> np.uint64(20))[x] + (w >> np.uint64(12))[y]) % np.uint64(parts) == np.uint64(k))
-            used, back = np.unique(np.concatenate([x[use], y[use]]), return_inverse=True)
-            words.append(w[used])
-            a.append(back[: len(use)] + at)
-            b.append(back[len(use) :] + at)
-            n.append(times[use].astype(np.int64))
-            at += len(used)
-        every, back = np.unique(np.concatenate(words), return_inverse=True)
-        del words
-        key, n = back[np.concatenate(a)] * len(every) + back[np.concatenate(b)], np.concatenate(n)
-        del a, b
-        order = np.argsort(key)
-        key, n = key[order], n[order]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        pairs = np.add.reduceat(n, starts) if len(key) else np.zeros(0, np.int64)
-        keep = pairs >= least
-        first, second = np.divmod(key[starts][keep], max(1, len(every)))
-        signed = every.view(np.int64)
-        return pa.table({"w1": signed[first], "w2": signed[second], "n": pairs[keep]})
+def pair_messages(held: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(shard, batch, body): a batch's distinct pairs of a shard, with their training counts."""
+
+    def each(rows):
+        for r in rows:
+            for batch, body in zip(r.column(0), r.column(1), strict=True):
+                hashes, tokens, sizes, fit = unpacked(body.as_buffer())
+                sizes = sizes.astype(np.int64)
+                p = Pairs(hashes, tokens, sizes, shards, hot)
+                n = np.bincount(p.of, np.repeat(fit, sizes + 1), len(p.a)).astype(np.int64)
+                place, bodies = np.zeros(len(p.hashes), np.int64), []
+                for k in p.parts.tolist():
+                    own = slice(p.cuts[k], p.cuts[k + 1])
+                    used = np.unique(np.concatenate([p.a[own], p.b[own]]))
+                    place[used] = np.arange(len(used))
+                    bodies.append(packed(steps(p.hashes[used]), steps(place[p.a[own]]), place[p.b[own]], n[own]))
+                yield pa.RecordBatch.from_arrays([pa.array(p.parts, pa.int32()), pa.array([batch.as_py()] * len(bodies), pa.int64()), pa.array(bodies, pa.binary())], ["shard", "batch", "body"])
+
+    return held.select("batch", "body").mapInArrow(each, "shard int, batch long, body binary")
+
+
+def serve(hot: tuple[np.ndarray, np.ndarray, np.ndarray], folder: str):
+    """A shard's messages to answers: share codes of the pairs asked for, and weight codes of their contexts.
+    One more row, without a batch, has the number of kinds of successors of the split contexts here.
+    hot: hashes, parts and counts of split contexts."""
 
     def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        blobs = [x.as_buffer() for x in rows.column("blob")]
-        parts = 1 + sum(pairs_in(x) for x in blobs) // AT_ONCE
-        got = pa.concat_tables([part(blobs, k, parts) for k in range(parts)])
-        return got.add_column(0, "shard", pa.array([key[0].as_py()] * len(got), pa.int32()))
+        words, a, b, n, at = [], [], [], [], 0
+        for x in rows.column("body"):
+            w, da, y, times = unpacked(x.as_buffer())
+            words.append(np.cumsum(w, dtype=U))
+            a.append(np.cumsum(da, dtype=np.int64) + at)
+            b.append(y.astype(np.int64) + at)
+            n.append(times)
+            at += len(w)
+        words, place = np.unique(np.concatenate(words), return_inverse=True)
+        ends = np.cumsum([len(x) for x in a])
+        pair = place[np.concatenate(a)] * len(words) + place[np.concatenate(b)]
+        contexts = [place[np.unique(x)] for x in a]
+        del a, b, place
+        pair, of = np.unique(pair, return_inverse=True)
+        count = np.bincount(of, np.concatenate(n)).astype(np.int64)
+        del n
+        first, second = np.divmod(pair, len(words))
+        seen = count > 0
+        totals, kinds = np.bincount(first, count, len(words)), np.bincount(first[seen], minlength=len(words))
+        split, here = np.isin(words, hot[0]), np.zeros(0, np.int64)
+        if split.any():
+            here = np.flatnonzero(split & (kinds > 0))
+            totals[split] = hot[2][np.searchsorted(hot[0], words[split])]
+        uri = f"{folder}/{key[0].as_py()}-{uuid.uuid4().hex}.trie"
+        with open_path(uri, "wb") as f:
+            f.write(Trie.build(words[first[seen]], words[second[seen]], count[seen], totals[first[seen]]))
+        weight, share = Trie.open(uri).look(words, first, second)
+        bodies = [packed(share[of[lo:hi]], weight[x]) for lo, hi, x in zip([0, *ends[:-1]], ends, contexts, strict=True)]
+        own = packed(words[here], kinds[here])
+        batch = pa.concat_arrays([rows.column("batch").combine_chunks(), pa.array([None], pa.int64())])
+        return pa.table([batch, pa.array([key[0].as_py()] * len(batch), pa.int32()), pa.array([*bodies, own], pa.binary())], ["batch", "part", "body"])
 
     return each
 
 
-def weigh(key: tuple[pa.Scalar, ...], rows: pa.Table, model: pa.Table) -> pa.Table:
-    """A shard's blobs against its trie: for each blob, sums by document of its batch in one packed row.
-    A row of ids and sizes, where the shard is below 0, goes on as it is."""
-    trie, packed = Trie(model.column("trie")[0].as_buffer()) if len(model) else None, []
-    for raw in rows.column("blob"):
-        if not raw.is_valid:
-            packed.append(None)
-            continue
-        words, a, b, n, per_doc = unpack(raw.as_buffer())
-        n, d = n.astype(np.int64), len(per_doc)
-        c, add = trie.look(words, a.astype(np.int64), b.astype(np.int64)) if trie is not None else (np.zeros(len(words), np.int64), np.zeros(len(a)))
-        doc, times = np.repeat(np.arange(d), per_doc), n * (words != np.uint64(BOS))[a]
-        some = np.flatnonzero(per_doc)
-        sums = [np.bincount(doc, x, d)[some] for x in (times * np.log10(c + 0.5)[a], n * add, times * (c > 0)[a])]
-        body = struct.pack("<Q", len(some)) + planes(np.diff(some, prepend=0), "<u4") + planes(sums[2], "<u4") + sums[0].astype("<f8").tobytes() + sums[1].astype("<f8").tobytes()
-        packed.append(zstandard.ZstdCompressor(level=1).compress(body))
-    return pa.table([rows.column("base"), pa.array(packed, pa.binary()), rows.column("ids"), rows.column("sizes")], ["base", "sums", "ids", "sizes"])
-
-
-def gather(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """A batch's packed sums, one of each shard that its documents reach, to one row a document. They hold no
-    more numbers than the batch has pairs."""
-    meta = rows.filter(rows.column("ids").is_valid())
-    ids, sizes = meta.column("ids")[0].values, meta.column("sizes")[0].values
-    total, known = np.zeros((2, len(ids))), np.zeros(len(ids), np.int64)
-    for raw in rows.column("sums"):
-        if raw.is_valid:
-            body = zstandard.ZstdDecompressor().decompress(raw.as_buffer())
-            (n,) = struct.unpack_from("<Q", body)
-            some, at = from_planes(body, "<u4", n, 8)
-            some = np.cumsum(some, dtype=np.int64)
-            more, at = from_planes(body, "<u4", n, at)
-            known[some] += more
-            total[:, some] += np.frombuffer(body, "<f8", 2 * n, at).reshape(2, n)
-    return pa.table([ids, sizes, pa.array(total[0]), pa.array(total[1]), pa.array(known)], ["id", "n_tokens", "base_part", "gain", "known"])
-
-
-def build(total: int, distinct: int):
-    """A shard's words (w2 null) and pairs to its trie."""
+def finish(shards: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray], weights: np.ndarray, total: int, distinct: int, docs_seen: int):
+    """A batch and its answers to a row for each document. weights: interpolation weights of the split contexts."""
+    norm = total + 0.5 * (distinct + 1)
 
-    def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        two = rows.column("w2").is_valid()
-        one, more = rows.filter(pc.invert(two)), rows.filter(two)
-        u = lambda t, name: np.ascontiguousarray(t.column(name).to_numpy()).view(np.uint64)
-        raw = Trie.build(u(one, "w1"), one.column("n").to_numpy(), u(more, "w1"), u(more, "w2"), more.column("n").to_numpy(), more.column("c2").to_numpy(), total, distinct, mass=(one.column("kept").to_numpy(), one.column("lower").to_numpy()))
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([raw], pa.binary())], ["shard", "trie"])
+    def each(key: tuple[pa.Scalar, ...], batch: pa.Table, answers: pa.Table) -> pa.Table:
+        ids = batch.column("ids")[0].values
+        hashes, tokens, sizes, _ = unpacked(batch.column("body")[0].as_buffer())
+        sizes = sizes.astype(np.int64)
+        by = {(p, k): unpacked(x.as_buffer()) for p, k, x in zip(answers.column("pairs").to_pylist(), answers.column("part").to_pylist(), answers.column("body"), strict=True)}
+        count = np.zeros(len(hashes) + 2)
+        order, cuts = split_words(hashes, shards)
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            count[order[cuts[k] : cuts[k + 1]]] = by[False, k][0]
+        count[-1] = docs_seen  # END
+        p = Pairs(hashes, tokens, sizes, shards, hot[:2])
+        uni = (count + 0.5) / norm
+        prob = np.empty(len(p.a))
+        for k in p.parts.tolist():
+            lo, hi = p.cuts[k], p.cuts[k + 1]
+            share, weight = by[True, k]
+            starts = p.contexts(k)
+            weight = decoded(weight, 1.0)
+            if len(hot[0]):
+                h = p.hashes[p.a[lo + starts]]
+                at = np.minimum(np.searchsorted(hot[0], h), len(hot[0]) - 1)
+                weight = np.where(hot[0][at] == h, weights[at], weight)
+            prob[lo:hi] = decoded(share, 0.0) + np.repeat(weight, np.diff(np.append(starts, hi - lo))) * uni[p.by_hash[p.b[lo:hi]]]
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        c = count[p.second]
+        sums = [np.add.reduceat(x, starts) for x in (np.log10(c + 0.5), np.log10(prob)[p.of], (c > 0).astype(np.int64))]
+        return pa.table([ids, pa.array(sizes + 1), pa.array(sums[2]), pa.array(sums[0] - (sizes + 1) * np.log10(norm)), pa.array(sums[1])], ["id", "n_tokens", "n_known", "base_score", "score"])
 
     return each
 
 
-def score(docs: DataFrame, by: int = 5, held: int = 1, least: int = 2, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 10 << 20) -> DataFrame:
+def score(docs: DataFrame, by: int = 5, held: int = 1, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, at_once: int = 8 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
-    if shards is None:
-        shards = max(6, min(100_000, int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // shard_bytes))
     kind = docs.schema[id_col].dataType.simpleString()
-    docs = docs.select(id_col, text_col)
-    train = docs.where(remainder(id_col, by) != held)
-    uni = cut(word_counts(train, text_col), "lm-words")
-    total, distinct, docs_seen = uni.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("w") == as_long(END), F.col("c"))), F.lit(0))).first()
-    norm = total + 0.5 * (distinct + 1)
-    begin = spark.range(1 if docs_seen else 0).select(F.lit(as_long(BOS)).alias("w"), F.lit(docs_seen).cast("long").alias("c"))
-    contexts = uni.where(F.col("w") != as_long(END)).unionByName(begin)
-    splits = F.greatest(F.lit(1), F.ceil(F.col("c") * shards / max(1, total))).cast("int")
-    many = np.array([tuple(r) for r in contexts.where(F.col("c") * shards > total).select("w", splits).collect()], np.int64).reshape(-1, 2)  # fewer than 2 * shards rows
-    at = np.argsort(many[:, 0].view(np.uint64)) if len(many) else np.zeros(0, np.int64)
-    hot = np.ascontiguousarray(many[at, 0]).view(np.uint64), many[at, 1].astype(np.uint64)
-
-    counted = messages(train, shards, hot, True, id_col, text_col).select("shard", "blob").repartition(shards, "shard")
-    pairs = cut(counted.groupBy("shard").applyInArrow(tally(least), "shard int, w1 long, w2 long, n long"), "lm-counts")
-    pairs = cut(pairs.join(uni.withColumnRenamed("w", "w2").withColumnRenamed("c", "c2"), "w2"), "lm-pairs")
-    mass = pairs.groupBy("w1").agg((F.sum("n") - DISCOUNT * F.count("*")).alias("kept"), (F.sum(F.col("c2") + 0.5) / norm).alias("lower"))
-    words = contexts.join(mass, F.col("w") == F.col("w1"), "left").select(
-        F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"), F.col("w").alias("w1"), F.col("c").alias("n"), F.coalesce(F.col("kept") / F.col("c"), F.lit(0.0)).alias("kept"), F.coalesce("lower", F.lit(0.0)).alias("lower")
-    )
-    home = F.pmod(F.shiftrightunsigned("w1", 40), F.lit(shards))
-    words = words.withColumn("shard", ((home + F.col("part")) % shards).cast("int")).drop("part")
-    level = words.unionByName(pairs.select("shard", "w1", "w2", "n", "c2"), allowMissingColumns=True)
-    tries = cut(level.groupBy("shard").applyInArrow(build(total, distinct), "shard int, trie binary"), "lm-tries")
-
-    blobs = messages(docs, shards, hot, False, id_col, text_col).repartition(shards, "shard")
-    parts = blobs.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(weigh, f"base long, sums binary, ids array<{kind}>, sizes array<long>")
-    sums = parts.groupBy("base").applyInArrow(gather, f"id {kind}, n_tokens long, base_part double, gain double, known long").withColumnRenamed("id", id_col)
-    base = F.col("base_part") + math.log10(docs_seen + 0.5) - F.col("n_tokens") * math.log10(norm)
-    out = sums.select(id_col, (remainder(id_col, by) == held).alias("held_out"), "n_tokens", (F.col("known") + int(docs_seen > 0)).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
-    return cut(out, "lm")
+    flag = "train" if id_col != "train" and text_col != "train" else "train_"
+    rows = docs.select(id_col, text_col, (remainder(id_col, by) != held).alias(flag))
+    batch = cut(batches(rows, flag, id_col, text_col, at_once), "lm-batches")
+    total, docs_seen = (int(x) for x in batch.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0))).first())
+    shards = shards or max(6, -(-total // shard_tokens))
+
+    asked = word_messages(batch, shards).repartition(shards, "shard")
+    words = cut(asked.groupBy("shard").applyInArrow(count_words(shards, total), "batch long, part int, body binary"), "lm-words")
+    own = [unpacked(r.body) for r in words.where("batch is null").select("body").collect()]  # a row a shard, fewer than `shards` words in all
+    seen = sum(int(x[0][0]) for x in own)
+    distinct = seen + int(docs_seen > 0)
+    hashes, counts = (np.concatenate([np.zeros(0, t), *(x[i].astype(t) for x in own)]) for i, t in ((1, U), (2, np.int64)))
+    if docs_seen * shards > total:
+        hashes, counts = np.append(hashes, U(BOS)), np.append(counts, docs_seen)
+    at = np.argsort(hashes)
+    hashes, counts = hashes[at], counts[at]
+    hot = hashes, np.ceil(counts * shards / max(1, total)).astype(U), counts
+
+    asked = pair_messages(batch, shards, hot[:2]).repartition(shards, "shard")
+    folder = f"{shared_dir(spark)}/lm-model-{uuid.uuid4().hex}"
+    pairs = cut(asked.groupBy("shard").applyInArrow(serve(hot, folder), "batch long, part int, body binary"), "lm-pairs")
+    kinds = np.zeros(len(hashes))
+    for r in pairs.where("batch is null").select("body").collect():  # a row a shard, of its parts of split contexts
+        w, k = unpacked(r.body)
+        np.add.at(kinds, np.searchsorted(hashes, w), k)
+    weights = np.where(kinds > 0, DISCOUNT * kinds / np.maximum(counts, 1), 1.0)
+
+    answers = words.where("batch is not null").withColumn("pairs", F.lit(False)).unionByName(pairs.where("batch is not null").withColumn("pairs", F.lit(True)))
+    out = batch.select("batch", "ids", "body").groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish(shards, hot, weights, total, distinct, docs_seen), f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    out = out.withColumnRenamed("id", id_col)
+    return cut(out.select(id_col, (remainder(id_col, by) == held).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"), "lm")

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import os
 import struct
 import uuid
 import zipfile
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir
+from .common import cut, open_path, shared_dir
 
 CRLF, PAGE = b"\r\n", "urn:page:"
 MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
@@ -116,21 +115,6 @@ class ZipRanges:
             yield gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
 
 
-def open_path(uri: str, mode: str):
-    """A file of the shared folder, local or in any store that pyarrow reaches."""
-    if uri.startswith(("file:", "/")):
-        path = "/" + uri.removeprefix("file:").lstrip("/")
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        return open(path, mode)
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(uri)
-    if mode == "rb":
-        return store.open_input_file(path)
-    store.create_dir(os.path.dirname(path), recursive=True)
-    return store.open_output_stream(path)
-
-
 def open_zip(uri: str) -> tuple[ZipRanges, object]:
     f = open_path(uri, "rb")
     size = f.seek(0, 2)

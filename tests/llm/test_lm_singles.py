@@ -1,34 +1,12 @@
 """op8 keeps pairs that training saw once."""
 
-import math
-import zlib
-from collections import Counter
-
 from evidentia.llm import queries
+from test_operators import scores
 
 
 def test_pairs_seen_once_count(spark, tmp_path):
     texts = {i: f"alpha{i} beta{i} gamma delta{i % 3}" for i in range(40)}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    tokens = {i: [*t.encode().split(), b"\n"] for i, t in texts.items()}
-    train = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1]
-    count, pairs, heads = Counter(w for ws in train for w in ws), Counter(), Counter()
-    for ws in train:
-        pairs.update(zip([b" ", *ws[:-1]], ws, strict=True))
-        heads.update([b" ", *ws[:-1]])
-    n, v = sum(count.values()), len(count)
-    uni = lambda w: (count[w] + 0.5) / (n + 0.5 * (v + 1))
-    mass, low = Counter(), Counter()
-    for (a, b), c in pairs.items():
-        mass[a] += (c - 0.75) / heads[a]
-        low[a] += uni(b)
-
-    def gain(a, b):
-        if (a, b) in pairs:
-            return math.log10((pairs[a, b] - 0.75) / heads[a] / uni(b))
-        return math.log10((1 - mass[a]) / (1 - low[a])) if mass[a] else 0.0
-
+    want = {r[0]: r for r in scores(texts.items())}
     for r in queries.op8_lm(spark, str(tmp_path)).collect():
-        ws = tokens[r.doc_id]
-        want = sum(math.log10(uni(b)) + gain(a, b) for a, b in zip([b" ", *ws[:-1]], ws, strict=True))
-        assert abs(r.score - want) < 0.02 * len(ws)
+        assert abs(r.score - want[r.doc_id][5]) < 0.0003 * want[r.doc_id][1]

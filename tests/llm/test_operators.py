@@ -280,44 +280,49 @@ def test_elias_fano_and_trie(tmp_path):
         assert (e.all() == v).all() and (e.find(v) == np.arange(len(v))).all()
         q = np.setdiff1d(r.integers(0, top, 500).astype(np.uint64), v)
         assert (e.find(q) == -1).all()
-    words, counts = np.array([5, 9, 2**60], np.uint64), np.array([4, 3, 2])
-    raw = lm.Trie.build(words, counts, np.array([5, 9], np.uint64), np.array([9, 77], np.uint64), np.array([2, 2]), np.array([3, 1]), 12, 5)
+        m = len(v) // 2
+        assert (e.find(v[:m], np.zeros(m, int), np.full(m, m)) == np.arange(m)).all() and (e.find(v[m:], np.zeros(len(v) - m, int), np.full(len(v) - m, m)) == -1).all()
+    first, second = np.array([9, 5, 5, 5], np.uint64), np.array([77, 9, 5, 2**60], np.uint64)
+    raw = lm.Trie.build(first, second, np.array([2, 2, 1, 1]), np.array([3, 4, 4, 4]))
     (tmp_path / "t").write_bytes(raw)
     t = lm.Trie.open(str(tmp_path / "t"))
-    c, add = t.look(np.array([5, 9, 77, 8], np.uint64), np.array([0, 0, 1, 3]), np.array([1, 2, 2, 0]))
-    uni = lambda k: (k + 0.5) / (12 + 0.5 * 6)
-    assert c.tolist() == [4, 3, 0, 0]
-    assert np.allclose(add, [math.log10((2 - 0.75) / 4 / uni(3)), math.log10((1 - 1.25 / 4) / (1 - uni(3))), math.log10((2 - 0.75) / 3 / uni(1)), 0.0])
+    asked = np.array([5, 9, 77, 8, 2**60], np.uint64)
+    weight, share = t.look(asked, np.array([0, 0, 1, 3, 1, 0, 0, 2]), np.array([1, 2, 2, 0, 1, 0, 4, 1]))
+    assert np.allclose(lm.decoded(weight, 1.0), [0.75 * 3 / 4, 0.75 / 3, 1, 1, 1], rtol=1e-3)
+    assert np.allclose(lm.decoded(share, 0.0), [1.25 / 4, 0, 1.25 / 3, 0, 0, 0.25 / 4, 0.25 / 4, 0], rtol=1e-3)
+
+
+def scores(rows):
+    """Brute force: (id, tokens, known, N, base, score) of each (id, text)."""
+    tokens = [(i, [*(t or "").encode().lower().split(), b"\n"]) for i, t in rows]
+    train = [ws for i, ws in tokens if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    count = Counter(w for ws in train for w in ws)
+    n, v, pairs, heads = sum(count.values()), len(count), Counter(), Counter()
+    for ws in train:
+        pairs.update(zip([b" ", *ws[:-1]], ws, strict=True))
+        heads.update([b" ", *ws[:-1]])
+    kinds = Counter(a for a, _ in pairs)
+    uni = {w: (count[w] + 0.5) / (n + 0.5 * (v + 1)) for _, ws in tokens for w in ws}
+
+    def p(a, b):
+        return (max(pairs[a, b] - 0.75, 0) + 0.75 * kinds[a] * uni[b]) / heads[a] if heads[a] else uni[b]
+
+    return [(i, len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10(uni[w]) for w in ws), sum(math.log10(p(a, b)) for a, b in zip([b" ", *ws[:-1]], ws, strict=True))) for i, ws in tokens]
 
 
 def test_lm(docs, rows, empty):
-    got = sorted(lm.score(docs, shards=5).collect(), key=str)
-    tokens = [(i, [*(t or "").encode().lower().split(), b"\n"]) for i, t, _ in rows]
-    count = Counter(w for i, ws in tokens if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for w in ws)
-    n, v = sum(count.values()), len(count)
-    pairs, heads = Counter(), Counter()
-    for i, ws in tokens:
-        if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1:
-            pairs.update(zip([b" ", *ws[:-1]], ws, strict=True))
-            heads.update([b" ", *ws[:-1]])
-    uni = {w: (count[w] + 0.5) / (n + 0.5 * (v + 1)) for _, ws in tokens for w in ws}
-    kept = {k: (c - 0.75) / heads[k[0]] for k, c in pairs.items() if c >= 2}
-    mass, low = Counter(), Counter()
-    for (a, b), p in kept.items():
-        mass[a] += p
-        low[a] += uni[b]
-
-    def gain(a, b):
-        return math.log10(kept[a, b] / uni[b]) if (a, b) in kept else math.log10((1 - mass[a]) / (1 - low[a])) if mass[a] else 0.0
-
-    want = []
-    for i, ws in tokens:
-        base = sum(math.log10(uni[w]) for w in ws)
-        want.append((i, len(ws), sum(count[w] > 0 for w in ws), n, base, base + sum(gain(a, b) for a, b in zip([b" ", *ws[:-1]], ws, strict=True))))
     key = lambda r: (str(r[0]), r[1])
-    for g, w in zip(sorted([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], key=key), sorted(want, key=key), strict=True):
-        assert g[:4] == w[:4] and abs(g[4] - w[4]) < 1e-6 * (1 + abs(w[4])) and abs(g[5] - w[5]) < 0.02 * w[1]  # 8-bit codes
+    want = sorted(scores([r[:2] for r in rows]), key=key)
+    by_shards = []
+    for shards, at_once in ((5, 1 << 13), (17, 1 << 20), (1, 1 << 20)):  # contexts are split, or aren't
+        got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score(docs, shards=shards, at_once=at_once).collect()), key=key)
+        for g, w in zip(got, want, strict=True):
+            assert g[:4] == w[:4] and abs(g[4] - w[4]) < 1e-6 * (1 + abs(w[4])) and abs(g[5] - w[5]) < 0.0003 * w[1]  # codes
+        by_shards.append([g[5] for g in got])
+    assert np.allclose(by_shards[0], by_shards[1], rtol=1e-3) and np.allclose(by_shards[1], by_shards[2], rtol=1e-3)
     assert lm.score(empty, shards=3).count() == 0
+    untrained = lm.score(docs.where("doc_id = 3").select(F.lit(2).alias("doc_id"), "text").limit(1), held=zlib.crc32(b"2") % 5).collect()
+    assert [(r.n_known, r.train_tokens) for r in untrained] == [(0, 0)] and abs(untrained[0].score - untrained[0].base_score) < 1e-9
 
 
 def test_warc(spark):

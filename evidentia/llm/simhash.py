@@ -19,6 +19,9 @@ non-null id, null if there is none. An empty table gives an empty result. Other
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,7 +32,8 @@ from .common import components, cut
 
 SEED = 42
 PART = 1 << 16  # shingles whose bits are counted at once
-SALTS = 8  # parts of an id's rows in keep_one
+SALTS = 8  # parts of an id's rows in kept
+WIDE = 4  # words of a fingerprint in similar_classes
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -106,36 +110,50 @@ def forest(unit: np.ndarray, fp: np.ndarray, radius: int, tile: int = 512) -> tu
     return tied, lab[tied]
 
 
-def links(fps: DataFrame, radius: int = 3, tile: int = 4096) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) that keep every class of links together."""
-    n, wide = radius + 1, 64 // (radius + 1)
-    slices = [F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fp", k * wide).bitwiseAND((1 << wide if k < n - 1 else 1 << (64 - k * wide)) - 1).alias("v")) for k in range(n)]
-    rows = fps.select("fp", F.bit_count("fp").alias("pc"), F.explode(F.array(*slices)).alias("s")).select("fp", "pc", (F.col("s.v") * n + F.col("s.k")).alias("block"))
-    tiles = (
-        rows.groupBy("block", "pc").count().groupBy("block").agg(F.sum("count").alias("m"), F.map_from_entries(F.collect_list(F.struct("pc", F.ceil(F.col("count") / tile).cast("int")))).alias("tiles")).where(F.col("m") > tile).select("block", "tiles")
-    )  # at most 65 counts a block
-    own = "pc * 100000L + pmod(xxhash64(fp, 7), tiles[pc])"
+def in_units(rows: DataFrame, radius: int, tile: int, key: str) -> DataFrame:
+    """rows (block, pc, ...) with a column unit in place of block: the block, or each pair of tiles of it that a row
+    takes part in where the block has more than `tile` rows. Tiles are cut by population count and the key's hash."""
+    tiles = rows.groupBy("block", "pc").count().groupBy("block").agg(F.sum("count").alias("m"), F.map_from_entries(F.collect_list(F.struct("pc", F.ceil(F.col("count") / tile).cast("int")))).alias("tiles"))
+    tiles = tiles.where(F.col("m") > tile).select("block", "tiles")  # one entry for each population count of a block
+    own = f"pc * 100000L + pmod(xxhash64({key}, 7), tiles[pc])"
     pairs = f"""transform(flatten(transform(filter(sequence(pc - {radius}, pc + {radius}), p -> tiles[p] is not null),
         p -> transform(sequence(0, tiles[p] - 1), s -> p * 100000L + s))), t -> xxhash64(block, least(t, {own}), greatest(t, {own})))"""
-    units = rows.join(tiles, "block", "left").selectExpr(f"explode(case when tiles is null then array(block) else {pairs} end) unit", "fp", "pc")
+    rest = [c for c in rows.columns if c != "block"]
+    return rows.join(tiles, "block", "left").selectExpr(f"explode(case when tiles is null then array(block) else {pairs} end) unit", *rest)
 
-    def each(batches):
-        kept = (np.empty(0, np.int64), np.empty(0, np.int64))
 
-        def out(unit, fp):
-            i, j = forest(unit, fp.view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], ["a", "b"])
+def unit_by_unit(judge):
+    """Function for mapInArrow over rows that are sorted by their first column, unit: judge gets the columns of
+    whole units, as arrays, and returns columns a and b. One unfinished unit, of two tiles at most, is held."""
 
+    def each(batches):
+        kept = None
         for b in batches:
-            unit, fp = (np.concatenate([x, y.to_numpy(zero_copy_only=False)]) for x, y in zip(kept, b.columns, strict=True))
+            cols = [y.to_numpy(zero_copy_only=False) for y in b.columns]
+            if kept is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(kept, cols, strict=True)]
+            unit = cols[0]
             if len(unit) and len(whole := np.flatnonzero(unit != unit[-1])):
-                yield out(unit[: whole[-1] + 1], fp[: whole[-1] + 1])
-                unit, fp = unit[whole[-1] + 1 :], fp[whole[-1] + 1 :]
-            kept = unit, fp  # one unfinished unit, of two tiles at most
-        if len(kept[0]):
-            yield out(*kept)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in judge(*(c[: whole[-1] + 1] for c in cols))], ["a", "b"])
+                cols = [c[whole[-1] + 1 :] for c in cols]
+            kept = cols
+        if kept is not None and len(kept[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in judge(*kept)], ["a", "b"])
+
+    return each
 
-    return units.repartition("unit").sortWithinPartitions("unit", "pc").select("unit", "fp").mapInArrow(each, "a long, b long")
+
+def links(fps: DataFrame, radius: int = 3, tile: int = 4096) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (column fp) that keep every class of links together."""
+    n, wide = radius + 1, 64 // (radius + 1)
+    slices = [F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fp", k * wide).bitwiseAND((1 << wide if k < n - 1 else 1 << (64 - k * wide)) - 1).alias("v")) for k in range(n)]
+    rows = fps.select("fp", F.bit_count("fp").alias("pc"), F.explode(F.array(*slices)).alias("s")).select("fp", "pc", (F.col("s.v") * n + F.col("s.k")).alias("block"))
+
+    def judge(unit, fp):
+        i, j = forest(unit, fp.view(np.uint64), radius)
+        return fp[i], fp[j]
+
+    return in_units(rows, radius, tile, "fp").repartition("unit").sortWithinPartitions("unit", "pc").select("unit", "fp").mapInArrow(unit_by_unit(judge), "a long, b long")
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, tile: int = 4096) -> DataFrame:
@@ -153,22 +171,29 @@ def hex16(c: str):
 
 
 def kept(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs, with all their columns, whose id is the smallest of their class (id, component_id).
-    Rows that repeat a kept id with the same text come once. Rows without an id can't be told apart and stay,
-    equal texts once, where no row of their class has an id."""
-    ids = classes.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    """One row of docs, with all its columns, of each class (id, t, component): the one with the smallest id, null
+    last, then with the smallest t, the text's hash. Rows that repeat it come once."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("t"))).alias("x")
+    best = classes.groupBy("component").agg(first).select("x.id", "x.t")
     # join and aggregate share one key, so texts are shuffled once; structs of nulls are equal, and the salt splits an id of many rows
     key = "key"
     while key in map(str.lower, docs.columns):
         key += "_"
-    ids = cut(ids.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")), "kept").select(F.struct("id", "salt").alias(key))
-    rows = docs.withColumn(key, F.struct(F.col(id_col).alias("id"), F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("long").alias("salt")))
-    return rows.join(ids, key, "left_semi").dropDuplicates([key, id_col, text_col]).select(*docs.columns)
+    best = cut(best, "kept").select(F.struct("id", "t").alias(key))
+    rows = docs.withColumn(key, F.struct(F.col(id_col).alias("id"), text_hash(text_col).alias("t")))
+    return rows.join(best, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+
+
+def text_hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """One row of each class of simhash_classes, see kept."""
-    return kept(docs, simhash_classes(docs, id_col, text_col, width, radius), id_col, text_col)
+    t = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("t"), F.col(text_col).alias("text"))
+    fps = cut(t.select(F.struct("id", "t").alias("id"), "text").transform(lambda d: fingerprints(d, "id", "text", width)), "simhash")
+    roots = components(links(fps.select("fp").distinct(), radius))
+    return kept(docs, fps.join(roots, fps.fp == roots.node, "left").select("id.id", "id.t", F.coalesce("root", "fp").alias("component")), id_col, text_col)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -193,55 +218,155 @@ def band_hashes(h: np.ndarray, odd: np.ndarray, mask: np.ndarray, rows: int) ->
     return out
 
 
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6) -> DataFrame:
-    """(id, component_id) for every row of docs: connected components of the texts whose sets of `width`-word
-    shingles have a Jaccard similarity of `least` or more. Pairs that share one of `bands` bands of `rows`
-    MinHash values are candidates (at 0.8 a pair is missed with probability (1 - 0.8 ** 6) ** 48, below 1e-6);
-    each is decided by its exact similarity. The least member of each bucket is compared with the others first,
-    then all candidates that this leaves in different classes."""
+def wide_fingerprint(h: np.ndarray, words: int = WIDE) -> np.ndarray:
+    """Fingerprint of 64 * words bits of a set of hashes: bits set in over half of each member's mixes."""
+    out = np.empty(words, np.uint64)
+    for k in range(words):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(h), PART):
+            x = (h[at : at + PART] ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD)
+            x ^= x >> np.uint64(33)
+            x *= np.uint64(0xC4CEB9FE1A85EC53)
+            x ^= x >> np.uint64(33)
+            counts += np.unpackbits(x.view(np.uint8).reshape(len(x), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+        out[k] = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]
+    return out
+
+
+def radius_for(least: float, bits: int, few: bool) -> int:
+    """Bits in which fingerprints of sets with a Jaccard similarity of `least` differ at most, but for 4.5
+    deviations. A bit differs with probability angle / pi; odd and even sizes, and few members, raise it."""
+    p = math.acos(2 * least / (1 + least)) / math.pi * (1.25 if few else 1.08)
+    return math.ceil(bits * p + 4.5 * math.sqrt(bits * p * (1 - p)))
+
+
+def nearest(unit, t, root, size, fp, lo: int, hi: int, least: float, tile: int = 512) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows sorted by unit and population count; fp (rows, words). Each row's candidates are the rows of its unit
+    whose fingerprints differ by the radius at most and whose sizes allow the similarity, the closest first; the
+    pairs with the lo-th to (hi-1)-th candidate that are in different classes, and whether later ones are."""
+    n, bits = len(t), 64 * fp.shape[1]
+    few, many = radius_for(least, bits, True), radius_for(least, bits, False)
+    radius = np.where(size <= 6, few, many)
+    pc = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
+    ends = np.flatnonzero(np.append(unit[1:] != unit[:-1], True)) + 1
+    starts = np.append(0, ends[:-1])
+    end = np.repeat(ends, ends - starts)
+    small = np.repeat(ends - starts <= 128, ends - starts)
+
+    def fits(i, j, d):
+        return (d <= np.maximum(radius[i], radius[j])) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]))
+
+    rows, k, found = np.flatnonzero(small), 1, []
+    while len(rows):
+        rows = rows[rows + k < end[rows]]
+        rows = rows[pc[rows + k] - pc[rows] <= few]  # later ones differ even more
+        d = np.bitwise_count(fp[rows] ^ fp[rows + k]).sum(axis=1, dtype=np.int64)
+        hit = fits(rows, rows + k, d)
+        found.append((rows[hit], rows[hit] + k, d[hit]))
+        k += 1
+    a, b, more = [], [], False
+    if found:
+        i, j, d = (np.concatenate([x[c] for x in found]) for c in range(3))
+        i, j, d = np.append(i, j), np.append(j, i), np.append(d, d)
+        order = np.lexsort((t[j], d, i))
+        i, j = i[order], j[order]
+        first = np.flatnonzero(np.append(True, i[1:] != i[:-1]))[: len(i)]
+        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
+        other = root[i] != root[j]
+        now = other & (rank >= lo) & (rank < hi)
+        a.append(i[now])
+        b.append(j[now])
+        more = bool((other & (rank >= hi)).any())
+    for x, y in zip(starts, ends, strict=True):
+        if y - x <= 128 or (root[x:y] == root[x]).all():
+            continue
+        for at in range(x, y, tile):
+            r = np.arange(at, min(at + tile, y))
+            left, right = np.searchsorted(pc[x:y], (pc[r[0]] - few, pc[r[-1]] + few + 1)) + x  # tiles beyond the radius are left out
+            c = np.arange(left, right)
+            d = np.zeros((len(r), len(c)), np.int16)
+            for w in range(fp.shape[1]):
+                d += np.bitwise_count(fp[r, w][:, None] ^ fp[c, w][None])
+            d[~fits(r[:, None], c[None], d) | (r[:, None] == c[None])] = 1 << 14
+            order = np.argsort(d, axis=1, kind="stable")
+            good = (np.take_along_axis(d, order, 1) < 1 << 14) & (root[r][:, None] != root[c][order])
+            more |= bool(good[:, hi:].any())
+            p, q = np.nonzero(good[:, lo:hi])
+            a.append(r[p])
+            b.append(c[order[p, q + lo]])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *z]).astype(np.int64) for z in (a, b))
+    return t[a], t[b], more
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6, tile: int = 4096) -> DataFrame:
+    """(id, t, component) for every row of docs: connected components of the texts whose sets of `width`-word
+    shingles have a Jaccard similarity of `least` or more; t is the text's hash.
+
+    Blocks are texts that share one of `bands` bands of `rows` MinHash values (at 0.8 a pair is missed with
+    probability (1 - 0.8 ** 6) ** 48, below 1e-6). Inside a block fingerprints of 256 bits are compared tile by
+    tile, see nearest, and candidates are decided by their exact similarity. Each round takes each text's next
+    closest candidates of other classes, twice as many as the round before, until none is left; so groups of
+    copies are joined by their closest pairs, and no block's pairs are all emitted. Blocks above `tile` texts are
+    cut into pairs of tiles."""
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("t", F.xxhash64("text"))
+    names = [f"f{k}" for k in range(WIDE)]
 
     def signed(batches):
         r = np.random.default_rng(SEED)
         odd, mask = r.integers(0, 1 << 64, (2, bands * rows), np.uint64)
         odd |= np.uint64(1)
         for b in batches:
-            got = [band_hashes(shingles(x.as_py(), width), odd, mask, rows).view(np.int64) for x in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64()))], ["id", "t", "bands"])
-
-    seen = cut(base.select("id", "t", "text").mapInArrow(signed, f"id {kind}, t long, bands array<long>"), "similar")
-    own = seen.groupBy("t").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
-    spread = own.select("t", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first <> last")
-    spread = cut(spread.join(shared.select("bucket", "first"), "bucket"), "buckets")
+            sets = [shingles(x.as_py(), width) for x in b.column(2)]
+            fps = np.array([wide_fingerprint(h) for h in sets], np.uint64).reshape(len(sets), WIDE).view(np.int64)
+            got = [band_hashes(h, odd, mask, rows).view(np.int64) for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64())), pa.array([len(h) for h in sets], pa.int64()), *(pa.array(np.ascontiguousarray(fps[:, k])) for k in range(WIDE))], ["id", "t", "bands", "size", *names])
+
+    seen = cut(base.select("id", "t", "text").mapInArrow(signed, f"id {kind}, t long, bands array<long>, size long, {', '.join(f'{c} long' for c in names)}"), "similar")
+    own = seen.groupBy("t").agg(F.any_value("bands").alias("bands"), F.any_value("size").alias("size"), *(F.any_value(c).alias(c) for c in names))
+    spread = own.select("t", F.explode("bands").alias("block"))
+    shared = spread.groupBy("block").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first <> last").select("block")
+    spread = cut(spread.join(shared, "block"), "blocks")
     paired = spread.select("t").distinct()  # texts with a candidate
+    prints = own.select("t", "size", *names).join(paired, "t", "left_semi").withColumn("pc", sum((F.bit_count(c) for c in names), F.lit(0)).cast("int"))
+    units = cut(in_units(spread.join(prints, "t"), radius_for(least, 64 * WIDE, True), tile, "t"), "units")
 
     def sets(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), width).view(np.int64) for x in b.column(1)], pa.list_(pa.int64()))], ["t", "h"])
 
-    held = cut(base.select("t", "text").join(paired, "t", "left_semi").mapInArrow(sets, "t long, h array<long>").groupBy("t").agg(F.any_value("h").alias("h")), "shingles")
+    held = base.select("t", "text").join(paired, "t", "left_semi").groupBy("t").agg(F.any_value("text").alias("text")).mapInArrow(sets, "t long, h array<long>")
+    held = cut(held, "shingles")
 
     def alike(pairs: DataFrame) -> DataFrame:
         both = pairs.join(held.select(F.col("t").alias("a"), F.col("h").alias("x")), "a").join(held.select(F.col("t").alias("b"), F.col("h").alias("y")), "b")
         both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("common") >= least * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
-    stars = cut(spread.where("t <> first").select(F.col("first").alias("a"), F.col("t").alias("b")).distinct(), "stars")
-    linked = cut(alike(stars), "linked")
-    roots = components(linked)
-    placed = cut(spread.join(roots, spread.t == roots.node, "left").select("bucket", "t", F.coalesce("root", "t").alias("root")), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    placed = cut(placed.join(mixed, "bucket"), "placed")
-    other = placed.select("bucket", F.col("t").alias("b"), F.col("root").alias("root_b"))
-    more = placed.select("bucket", F.col("t").alias("a"), "root").join(other, "bucket").where("a < b and root <> root_b").select("a", "b").distinct()
-    more = cut(alike(more.join(stars, ["a", "b"], "left_anti")), "linked")
-    roots = components(linked.union(more))
-    own = own.join(roots, own.t == roots.node, "left").select("t", "rep", F.coalesce("root", "t").alias("root"))
-    ids = own.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return seen.select("id", "t").join(own.join(ids, "root").select("t", "component_id"), "t").select("id", "component_id")
+    def step(lo: int, hi: int):
+        def judge(unit, t, root, size, *fp):
+            a, b, more = nearest(unit, t, root, size, np.stack(fp, axis=1).view(np.uint64), lo, hi, least)
+            a, b = np.minimum(a, b), np.maximum(a, b)
+            return (np.append(a, 0), np.append(b, 0)) if more else (a, b)
+
+        return unit_by_unit(judge)
+
+    linked, roots, lo, hi = [], None, 0, 1
+    while True:
+        now = units.withColumn("root", F.col("t"))
+        if roots is not None:
+            now = units.join(roots.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+            mixed = now.groupBy("unit").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("unit")
+            now = now.join(mixed, "unit")
+        now = now.repartition("unit").sortWithinPartitions("unit", "pc", "t").select("unit", "t", "root", "size", *names)
+        near = cut(now.mapInArrow(step(lo, hi), "a long, b long").distinct(), "near")
+        linked.append(cut(alike(near.where("a <> b")), "linked"))
+        roots = cut(components(reduce(DataFrame.union, linked)), "roots")
+        if near.where("a = b").isEmpty():
+            break
+        lo, hi = hi, 2 * hi + 1
+    return seen.select("id", "t").join(roots, F.col("t") == F.col("node"), "left").select("id", "t", F.coalesce("root", "t").alias("component"))
 
 
 def keep_dissimilar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:

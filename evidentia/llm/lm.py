@@ -180,17 +180,18 @@ class Trie:
             return cls(f.read())
 
     @staticmethod
-    def build(first: np.ndarray, second: np.ndarray, pair: np.ndarray, totals: np.ndarray, discount: float = DISCOUNT) -> bytes:
-        """From distinct pairs of word hashes with counts and their contexts' totals."""
-        words = np.unique(np.concatenate([first, second]))
-        a, b = np.searchsorted(words, first), np.searchsorted(words, second)
-        order = np.lexsort((b, a))
-        a, b, pair, totals = a[order], b[order], pair[order], totals[order]
-        starts = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(a)) if len(a) else starts
-        base = np.cumsum(b[ends - 1]) - b[ends - 1] if len(a) else b
+    def build(words: np.ndarray, first: np.ndarray, second: np.ndarray, pair: np.ndarray, totals: np.ndarray, discount: float = DISCOUNT) -> bytes:
+        """From sorted word hashes and distinct pairs of places in them, sorted, with counts and their contexts' totals."""
+        used = np.zeros(len(words), bool)
+        used[first] = used[second] = True
+        place = np.cumsum(used) - 1
+        starts = np.flatnonzero(np.append(True, first[1:] != first[:-1])) if len(first) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(first)) if len(first) else starts
+        b = place[second]
+        base = np.cumsum(b[ends - 1]) - b[ends - 1] if len(b) else b
+        b += np.repeat(base, ends - starts)
         return b"".join(
-            [EliasFano.pack(words), EliasFano.pack(a[starts].astype(U)), EliasFano.pack(np.append(starts, len(a)).astype(U)), EliasFano.pack((np.repeat(base, ends - starts) + b).astype(U))]
+            [EliasFano.pack(words[used]), EliasFano.pack(place[first[starts]].astype(U)), EliasFano.pack(np.append(starts, len(first)).astype(U)), EliasFano.pack(b.view(U))]
             + [coded(discount * (ends - starts) / totals[starts]).astype("<u2").tobytes(), coded((pair - discount) / totals).astype("<u2").tobytes()]
         )
 
@@ -402,34 +403,37 @@ def serve(hot: tuple[np.ndarray, np.ndarray, np.ndarray], folder: str):
     hot: hashes, parts and counts of split contexts."""
 
     def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        words, a, b, n, at = [], [], [], [], 0
+        words, pair, n, contexts, at = [], [], [], [], 0
         for x in rows.column("body"):
             w, da, y, times = unpacked(x.as_buffer())
+            a = np.cumsum(da, dtype=np.int64) + at
             words.append(np.cumsum(w, dtype=U))
-            a.append(np.cumsum(da, dtype=np.int64) + at)
-            b.append(y.astype(np.int64) + at)
-            n.append(times)
+            pair.append(a << 32 | y.astype(np.int64) + at)
+            contexts.append(a[np.append(True, a[1:] != a[:-1])])
+            n.append(times.astype(np.int32))
             at += len(w)
+        ends = np.cumsum([len(x) for x in pair])
         words, place = np.unique(np.concatenate(words), return_inverse=True)
-        ends = np.cumsum([len(x) for x in a])
-        pair = place[np.concatenate(a)] * len(words) + place[np.concatenate(b)]
-        contexts = [place[np.unique(x)] for x in a]
-        del a, b, place
-        pair, of = np.unique(pair, return_inverse=True)
-        count = np.bincount(of, np.concatenate(n)).astype(np.int64)
-        del n
-        first, second = np.divmod(pair, len(words))
-        seen = count > 0
+        pair, n = np.concatenate(pair), np.concatenate(n)
+        pair = place[pair >> 32] << 32 | place[pair & 0xFFFFFFFF]
+        order = np.argsort(pair, kind="stable")  # sorted runs, one a message
+        pair = pair[order]
+        new = np.append(True, pair[1:] != pair[:-1])
+        of = np.empty(len(order), np.int32)
+        of[order] = np.cumsum(new, dtype=np.int32) - 1
+        count = np.add.reduceat(n[order], np.flatnonzero(new), dtype=np.int64)
+        first, second = pair[new] >> 32, pair[new] & 0xFFFFFFFF
+        del pair, n, order, new
+        seen = np.flatnonzero(count)
         totals, kinds = np.bincount(first, count, len(words)), np.bincount(first[seen], minlength=len(words))
-        split, here = np.isin(words, hot[0]), np.zeros(0, np.int64)
-        if split.any():
-            here = np.flatnonzero(split & (kinds > 0))
-            totals[split] = hot[2][np.searchsorted(hot[0], words[split])]
+        split = np.isin(words, hot[0])
+        totals[split] = hot[2][np.searchsorted(hot[0], words[split])]
+        here = np.flatnonzero(split & (kinds > 0))
         uri = f"{folder}/{key[0].as_py()}-{uuid.uuid4().hex}.trie"
         with open_path(uri, "wb") as f:
-            f.write(Trie.build(words[first[seen]], words[second[seen]], count[seen], totals[first[seen]]))
+            f.write(Trie.build(words, first[seen], second[seen], count[seen], totals[first[seen]]))
         weight, share = Trie.open(uri).look(words, first, second)
-        bodies = [packed(share[of[lo:hi]], weight[x]) for lo, hi, x in zip([0, *ends[:-1]], ends, contexts, strict=True)]
+        bodies = [packed(share[of[lo:hi]], weight[place[x]]) for lo, hi, x in zip([0, *ends[:-1]], ends, contexts, strict=True)]
         own = packed(words[here], kinds[here])
         batch = pa.concat_arrays([rows.column("batch").combine_chunks(), pa.array([None], pa.int64())])
         return pa.table([batch, pa.array([key[0].as_py()] * len(batch), pa.int32()), pa.array([*bodies, own], pa.binary())], ["batch", "part", "body"])
@@ -472,7 +476,7 @@ def finish(shards: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray], weights:
     return each
 
 
-def score(docs: DataFrame, by: int = 5, held: int = 1, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000, at_once: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, by: int = 5, held: int = 1, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 2_500_000, at_once: int = 8 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()

@@ -282,8 +282,8 @@ def test_elias_fano_and_trie(tmp_path):
         assert (e.find(q) == -1).all()
         m = len(v) // 2
         assert (e.find(v[:m], np.zeros(m, int), np.full(m, m)) == np.arange(m)).all() and (e.find(v[m:], np.zeros(len(v) - m, int), np.full(len(v) - m, m)) == -1).all()
-    first, second = np.array([9, 5, 5, 5], np.uint64), np.array([77, 9, 5, 2**60], np.uint64)
-    raw = lm.Trie.build(first, second, np.array([2, 2, 1, 1]), np.array([3, 4, 4, 4]))
+    words = np.array([3, 5, 9, 77, 2**60], np.uint64)
+    raw = lm.Trie.build(words, np.array([1, 1, 1, 2]), np.array([1, 2, 4, 3]), np.array([1, 2, 1, 2]), np.array([4, 4, 4, 3]))
     (tmp_path / "t").write_bytes(raw)
     t = lm.Trie.open(str(tmp_path / "t"))
     asked = np.array([5, 9, 77, 8, 2**60], np.uint64)

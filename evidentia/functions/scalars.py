@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 EPOCH_MS = 1_420_070_400_000  # fixed value: start of the id clock
 SNOWFLAKE = r"^[0-9]{1,20}$"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
+INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
 UUID7 = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
 
@@ -78,14 +80,25 @@ def backoff_ms(attempt: Column) -> Column:
 
 
 def header_number(c: Column) -> Column:
-    """A number, 0 for blanks, null for other text and for null."""
-    return F.when(F.trim(c) == "", 0.0).otherwise(c.try_cast("double"))
+    """A finite number, 0 for blanks, null for other text and for null."""
+    t = F.trim(c)
+    return F.when(t == "", 0.0).when(t.rlike(NUMBER), t.try_cast("double"))
+
+
+def header_flag(c: Column) -> Column:
+    """True for the text true alone."""
+    return c.eqNullSafe(F.lit("true"))
 
 
 def header_scope(c: Column) -> Column:
     return F.when(c.isin("user", "global", "shared"), c)
 
 
+def instant(c: Column) -> Column:
+    """Date, time and zone as a timestamp, digits behind microseconds dropped; null for other text."""
+    return F.when(c.rlike(INSTANT), F.try_to_timestamp(F.upper(c)))
+
+
 def utc_text(c: Column) -> Column:
     """UTC with exactly three digits of seconds."""
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -104,6 +117,13 @@ def cut_text(text: str, most: int = 512) -> str:
     return text if len(text.encode()) <= most else text.encode()[:most].decode("utf-8", "ignore") + "..."
 
 
+def subject_tokens(key: bytes, subject: Column) -> Column:
+    """The keyed token (HMAC-SHA-256, hex) of each subject, from built-in hashes; null for null."""
+    block = (key if len(key) <= 64 else hashlib.sha256(key).digest()).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(x ^ pad for x in block)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, subject.cast("string").cast("binary")), 256))), 256)
+
+
 def subject_token(key: bytes, subject: str) -> str:
     return hmac.new(key, subject.encode(), hashlib.sha256).hexdigest()
 

@@ -1,16 +1,27 @@
-"""Backfill crawl: keyset pages, request budget and the run's state machine, as plain functions of state.
+"""Backfill crawl: keyset pages, request budget and the run's state machine.
 
-They run in a driver loop, in a streaming source or in keyed state alike. Order inside a page: take a budget
-slot, fetch, classify, commit to the archive, and only then move the cursor: a crash gives duplicates, never loss."""
+The rules are plain functions of state. A page takes a budget slot, is fetched, classified, committed to the archive,
+and only then moves the cursor: a crash gives duplicates, never loss. What follows from a page is an Outcome, and
+`apply` makes the next state of it; `Channel` keeps that state in a control store, one object a channel, so that each
+step is one write and a restart finds cursor, attempt, pending report and wake-up time as they were."""
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
+from datetime import UTC, datetime
+from typing import Protocol
+
+from ..functions.scalars import uuid7
+from ..sources import archive
+from ..sources.control import ControlStore
 
 ACTIVE, TERMINAL = ("running", "waiting"), ("completed", "failed", "halted")
+ROUTE = "GET /channels/{channel_id}/messages"
+FAULTS = ("after_fetch_before_archive", "after_archive_before_progress", "after_progress_before_alarm", "after_coordination_report_before_transition")
 
 
 def parse_id(value) -> str | None:
@@ -35,9 +46,31 @@ def classify(status: int) -> str:
     return "success" if 200 <= status < 300 else {401: "unauthorized", 403: "forbidden", 404: "not_found", 429: "rate_limited"}.get(status, "client_error" if 400 <= status < 500 else "server_error")
 
 
-def retry_after(headers: dict, body: dict | None) -> int:
-    for x in ((body or {}).get("retry_after"), headers.get("retry_after")):
-        if isinstance(x, int | float) and math.isfinite(x) and x >= 0:
+def number(text: str | None) -> float | None:
+    """A header's finite number; 0 for blanks."""
+    if text is None:
+        return None
+    if not text.strip():
+        return 0.0
+    try:
+        x = float(text) if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", text.strip()) else math.nan
+    except ValueError:
+        return None
+    return x if math.isfinite(x) else None
+
+
+def parse_headers(headers) -> dict:
+    """Rate-limit headers (any mapping with get, names in lower case)."""
+    scope = headers.get("x-ratelimit-scope")
+    return {
+        "limit": number(headers.get("x-ratelimit-limit")), "remaining": number(headers.get("x-ratelimit-remaining")), "reset_after": number(headers.get("x-ratelimit-reset-after")), "bucket": headers.get("x-ratelimit-bucket"),
+        "global": headers.get("x-ratelimit-global") == "true", "scope": scope if scope in ("user", "global", "shared") else None, "retry_after": number(headers.get("retry-after")),
+    }
+
+
+def retry_after(headers: dict, body) -> int:
+    for x in (body.get("retry_after") if isinstance(body, dict) else None, headers.get("retry_after")):
+        if isinstance(x, int | float) and not isinstance(x, bool) and math.isfinite(x) and x >= 0:
             return math.ceil(x * 1000)
     return 1000
 
@@ -47,19 +80,28 @@ def next_eligible(done_ms: int, headers: dict) -> int:
     return done_ms + math.ceil(reset * 1000) if headers.get("remaining") == 0 and reset is not None else done_ms
 
 
-def validate_start(body: dict, page_limit: int = 100) -> dict:
-    """A start request, or ValueError."""
-    out = {k: body.get(k) for k in ("guild_id", "channel_id", "before", "after")} | {"page_limit": body.get("page_limit", page_limit)}
+def route_bucket(done_ms: int, headers: dict) -> dict:
+    """What the last response said about its route; kept by route, the last one wins."""
+    reset = headers.get("reset_after")
+    return {"route_key": ROUTE, "bucket": headers.get("bucket"), "limit": headers.get("limit"), "remaining": headers.get("remaining"), "reset_at": None if reset is None else done_ms + math.ceil(reset * 1000), "observed_at": done_ms}
+
+
+def validate_start(body, page_limit: int = 100) -> dict:
+    """A start request, or ValueError that says what is wrong."""
+    if not isinstance(body, dict):
+        raise ValueError("body must be an object")
+    span = body.get("range") or {}
+    out = {"guild_id": body.get("guild_id"), "channel_id": body.get("channel_id"), "before": span.get("before"), "after": span.get("after"), "page_limit": body.get("page_limit", page_limit)}
     for k in ("guild_id", "channel_id"):
         if parse_id(out[k]) is None:
-            raise ValueError(k)
+            raise ValueError(f"{k} must be an id")
     for k in ("before", "after"):
-        if out[k] is not None and parse_id(out[k]) is None:
-            raise ValueError(k)
+        if k in span and parse_id(out[k]) is None:
+            raise ValueError(f"range.{k} must be an id")
     if out["before"] is not None and out["after"] is not None and int(out["after"]) >= int(out["before"]):
-        raise ValueError("after must be below before")
-    if not isinstance(out["page_limit"], int) or not 1 <= out["page_limit"] <= 100:
-        raise ValueError("page_limit")
+        raise ValueError("range.after must be below range.before")
+    if not isinstance(out["page_limit"], int) or isinstance(out["page_limit"], bool) or not 1 <= out["page_limit"] <= 100:
+        raise ValueError("page_limit must be an integer from 1 to 100")
     return out
 
 
@@ -89,15 +131,16 @@ class Budget:
         if self.halted:
             return False, "credential_halt", self.invalid_window_ms
         if now < self.paused_until:
-            return False, "global_pause", self.paused_until - now
+            return False, "global_retry_after", self.paused_until - now
         if len(self.invalid) >= math.floor(self.stop_share * self.invalid_budget):
-            return False, "invalid_budget", max(1, min(self.invalid) + self.invalid_window_ms - now)
+            return False, "invalid_request_budget", max(1000, min(self.invalid, default=now) + self.invalid_window_ms - now)
         if len(self.slots) >= self.ceiling:
-            return False, "ceiling", max(1, min(self.slots) + self.window_ms - now)
+            return False, "global_ceiling", max(1, min(self.slots, default=now) + self.window_ms - now)
         self.slots.append(now)
         return True, None, 0
 
     def report(self, report_id: str, now: int, status: int, scope: str | None = None, is_global: bool = False, retry_ms: int | None = None) -> None:
+        """Counts a response once, however often it is reported."""
         self.prune(now)
         if report_id in self.reports:
             return
@@ -105,13 +148,43 @@ class Budget:
         if status in (401, 403) or status == 429 and scope != "shared":
             self.invalid.append(now)
         if status == 429 and (is_global or scope == "global"):
-            self.paused_until = max(self.paused_until, now + (retry_ms or 0))
+            self.paused_until = max(self.paused_until, now + (1000 if retry_ms is None else retry_ms))
         if status == 401:
             self.halted = True
 
     def clear_halt(self) -> None:
+        """After the credential was changed."""
         self.halted = False
 
+    def snapshot(self, now: int) -> dict:
+        self.prune(now)
+        return {"requests_in_window": len(self.slots), "invalid_in_window": len(self.invalid), "paused_until": self.paused_until, "halted": self.halted}
+
+
+class DurableBudget:
+    """A Budget whose every change is written before it is answered."""
+
+    def __init__(self, control: ControlStore, key: str = "crawl/budget.json", **limits):
+        self.control, self.key, self.limits = control, key, limits
+
+    def _with(self, work: Callable):
+        b = Budget(**((self.control.get(self.key) or {}) | self.limits))
+        out = work(b)
+        self.control.put(self.key, asdict(b))
+        return out
+
+    def acquire(self, now: int) -> tuple[bool, str | None, int]:
+        return self._with(lambda b: b.acquire(now))
+
+    def report(self, report_id: str, now: int, status: int, scope: str | None = None, is_global: bool = False, retry_ms: int | None = None) -> None:
+        self._with(lambda b: b.report(report_id, now, status, scope, is_global, retry_ms))
+
+    def clear_halt(self) -> None:
+        self._with(lambda b: b.clear_halt())
+
+    def snapshot(self, now: int) -> dict:
+        return self._with(lambda b: b.snapshot(now))
+
 
 @dataclass(frozen=True)
 class Run:
@@ -127,113 +200,282 @@ class Run:
     attempt: int = 0
     next_at: int = 0
     pending: dict | None = None  # a report not yet delivered, and what follows it
-    error: str | None = None
+    error: dict | None = None
+    last_observation: str | None = None
+    last_key: str | None = None
     created_at: int = 0
+    updated_at: int = 0
 
     def request_before(self) -> str | None:
         return self.cursor if self.cursor is not None else self.before
 
 
-def archived(run: Run, ids: Sequence[str], done_ms: int, headers: dict) -> Run:
-    low, complete = advance(ids, run.page_limit, run.after)
-    return replace(run, state="completed" if complete else "running", cursor=run.cursor if complete else low, pages=run.pages + 1, attempt=0, next_at=next_eligible(done_ms, headers))
+@dataclass(frozen=True)
+class Response:
+    status: int
+    headers: dict  # as parse_headers gives them
+    body: bytes
+    started_ms: int
+    done_ms: int
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """kind: archived, deferred, retry, terminal, pending (a report to deliver first), resolved (it is delivered)."""
 
+    kind: str
+    at: int = 0  # when the next request may go out
+    reason: str = ""
+    cursor: str | None = None
+    completed: bool = False
+    observation: str | None = None
+    key: str | None = None
+    bucket: dict | None = None
+    error: dict | None = None
+    report: dict | None = None
+    then: dict | None = None  # the outcome that a delivered report leads to
+    failed: bool = False  # its delivery was tried
 
-def retried(run: Run, now: int) -> Run:
-    return replace(run, attempt=run.attempt + 1, next_at=now + backoff(run.attempt))
 
+class Crash(Exception):
+    """Raised by tests' fault hooks; nothing here catches it."""
 
-def stopped(run: Run, state: str, error: str) -> Run:
-    return replace(run, state=state, error=error, pending=None)
 
+class Pages(Protocol):
+    def fetch(self, channel_id: str, before: str | None, limit: int) -> Response: ...
 
-def step(run: Run, now: int, budget: Budget, fetch: Callable, commit: Callable, report: Callable, new_id: Callable, fault: Callable = lambda point: None) -> Run:
-    """One page. fetch(run) -> dict(status, headers, body, done_ms) or raises; commit(run, response) makes the page
-    durable; report(dict) tells the budget and may raise. A report of 401, 403 or 429 is kept in the state until
-    it is delivered, and no request goes out before that."""
-    if run.state not in ACTIVE or now < run.next_at:
-        return run
-    if run.pending:
-        try:
-            report(run.pending["report"])
-        except Exception:
-            return replace(run, state="waiting", attempt=run.attempt + 1, next_at=now + backoff(run.attempt))
-        status = run.pending["report"]["status"]
-        if status == 401:
-            return stopped(run, "halted", "unauthorized")
-        if status == 403:
-            return stopped(run, "failed", "forbidden")
-        return replace(run, state="waiting", pending=None, next_at=run.pending["at"])
-    ok, reason, wait = budget.acquire(now)
+
+class Gate(Protocol):
+    def acquire(self, now: int) -> tuple[bool, str | None, int]: ...
+
+    def report(self, report_id: str, now: int, status: int, scope: str | None, is_global: bool, retry_ms: int | None) -> None: ...
+
+
+@dataclass
+class Ports:
+    """What a crawl touches; tests put fakes in."""
+
+    pages: Pages
+    budget: Gate
+    commit: Callable[[dict], str]  # envelope -> result; ValueError: the archive holds another observation
+    now: Callable[[], int]
+    seed: Callable[[], bytes]  # random bytes for ids
+    fault: Callable[[str], None] = lambda point: None
+    api_version: str = "10"
+    capabilities: dict = field(default_factory=lambda: {"message_content": True})
+
+
+def wire(ms: int) -> str:
+    return archive.wire_time(datetime.fromtimestamp(ms / 1000, UTC))
+
+
+def failure(kind: str, status: int | None, message: str, at: int) -> dict:
+    return {"kind": kind, "http_status": status, "message": message, "occurred_at": wire(at)}
+
+
+def message_ids(body: bytes) -> list[str]:
+    """Ids of a page's messages; ValueError for anything that is no page."""
+    page = json.loads(body.decode("utf-8"))
+    if not isinstance(page, list):
+        raise ValueError("page is no array")
+    ids = [parse_id(m.get("id")) if isinstance(m, dict) else None for m in page]
+    if any(x is None for x in ids):
+        raise ValueError("message without id")
+    return ids
+
+
+def envelope_of(run: Run, r: Response, observation: str, ports: Ports) -> dict:
+    """The observation of a page; raw keeps the payload's bytes as they came."""
+    raw = r.body.decode("utf-8").removeprefix("\ufeff").strip()
+    return {
+        "envelope_version": "v1", "observation_id": observation, "source_kind": "http_backfill", "observed_at": wire(r.done_ms), "payload": json.loads(raw), "raw": raw,
+        "provenance": {
+            "run_id": run.run_id, "discord_api_version": ports.api_version, "guild_id": run.guild_id, "channel_id": run.channel_id, "operation": "get_channel_messages", "endpoint": f"/channels/{run.channel_id}/messages",
+            "pagination": {"before": run.request_before(), "after": None}, "limit": run.page_limit, "request_started_at": wire(r.started_ms), "response_completed_at": wire(r.done_ms), "http_status": r.status,
+            "capabilities": ports.capabilities, "rate_limit": {"limit": r.headers.get("limit"), "remaining": r.headers.get("remaining"), "reset_after_seconds": r.headers.get("reset_after"), "bucket": r.headers.get("bucket")},
+        },
+    }
+
+
+def page(run: Run, ports: Ports) -> Outcome:
+    """One request and what follows from it."""
+    now = ports.now()
+    ok, reason, wait = ports.budget.acquire(now)
     if not ok:
-        return stopped(run, "halted", reason) if reason == "credential_halt" else replace(run, state="waiting", next_at=now + wait)
-    report_id = new_id()
+        return Outcome("deferred", now + wait, reason)
+    report_id = uuid7(now, ports.seed())
     try:
-        r = fetch(run)
-    except Exception:
-        return retried(run, now)
-    fault("after_fetch")
-    kind, done = classify(r["status"]), r["done_ms"]
+        r = ports.pages.fetch(run.channel_id, run.request_before(), run.page_limit)
+    except Crash:
+        raise
+    except Exception as e:
+        return Outcome("retry", now + backoff(run.attempt), f"transport: {e}")
+
+    def report(retry: int | None) -> dict:
+        return {"report_id": report_id, "status": r.status, "scope": r.headers.get("scope"), "is_global": bool(r.headers.get("global")), "retry_ms": retry}
+
+    kind = classify(r.status)
     if kind in ("unauthorized", "forbidden", "rate_limited"):
-        retry = retry_after(r["headers"], r["body"] if isinstance(r["body"], dict) else None)
-        sent = {"report_id": report_id, "status": r["status"], "scope": r["headers"].get("scope"), "is_global": bool(r["headers"].get("global")), "retry_ms": retry, "now": done}
-        held = replace(run, state="waiting", pending={"report": sent, "at": done + retry}, next_at=now)
-        return step(held, now, budget, fetch, commit, report, new_id, fault)
-    if kind == "success":
-        ids = [parse_id(m.get("id")) if isinstance(m, dict) else None for m in r["body"]] if isinstance(r["body"], list) else [None]
-        if any(x is None for x in ids):
-            return stopped(run, "failed", "malformed page")
-        fault("before_archive")
-        try:
-            commit(run, r)
-        except ValueError as e:
-            return stopped(run, "failed", str(e))
-        except OSError:
-            return retried(run, now)
-        fault("after_archive")
-        return archived(run, ids, done, r["headers"])
+        # these feed the budget that all runs share: kept first, then told, and nothing else goes out before
+        retry = None
+        if kind == "rate_limited":
+            try:
+                body = json.loads(r.body)
+            except ValueError:
+                body = None
+            retry = retry_after(r.headers, body)
+            then = {"kind": "deferred", "at": r.done_ms + retry}
+        else:
+            name = "credential_failure" if kind == "unauthorized" else "scope_inaccessible"
+            then = {"kind": "terminal", "error": failure(name, r.status, kind, r.done_ms)}
+        return Outcome("pending", ports.now(), report=report(retry), then=then)
+    try:
+        ports.budget.report(now=ports.now(), **report(None))  # only for diagnosis: a lost one holds nothing up
+    except Crash:
+        raise
+    except Exception:  # noqa: S110
+        pass
     if kind == "server_error":
-        return retried(run, done)
-    return stopped(run, "failed", kind)
+        return Outcome("retry", r.done_ms + backoff(run.attempt), f"status {r.status}")
+    if kind != "success":
+        return Outcome("terminal", error=failure("scope_not_found" if kind == "not_found" else "invalid_request", r.status, kind, r.done_ms))
+    ports.fault("after_fetch_before_archive")
+    observation = uuid7(r.done_ms, ports.seed())
+    try:
+        ids = message_ids(r.body)
+        env = envelope_of(run, r, observation, ports)
+    except ValueError as e:
+        return Outcome("terminal", error=failure("invalid_request", r.status, f"page can't be read: {e}", r.done_ms))
+    try:
+        ports.commit(env)
+    except Crash:
+        raise
+    except ValueError as e:
+        return Outcome("terminal", error=failure("archive_invariant_violation", None, str(e), r.done_ms))
+    except Exception as e:
+        return Outcome("retry", now + backoff(run.attempt), f"archive: {e}")
+    low, done = advance(ids, run.page_limit, run.after)
+    return Outcome("archived", next_eligible(r.done_ms, r.headers), cursor=low, completed=done, observation=observation, key=archive.key_of(env), bucket=route_bucket(r.done_ms, r.headers))
+
+
+def deliver(run: Run, ports: Ports) -> Outcome:
+    """Tells the budget what is pending."""
+    try:
+        ports.budget.report(now=ports.now(), **run.pending["report"])
+    except Crash:
+        raise
+    except Exception as e:
+        return Outcome("pending", ports.now() + backoff(run.attempt), str(e), report=run.pending["report"], then=run.pending["then"], failed=True)
+    ports.fault("after_coordination_report_before_transition")
+    return Outcome("resolved", then=run.pending["then"])
+
+
+def apply(run: Run, o: Outcome, now: int) -> Run:
+    """The run after an outcome."""
+
+    def ended(error: dict) -> Run:
+        return replace(run, state="halted" if error["kind"] == "credential_failure" else "failed", error=error, pending=None, updated_at=now)
+
+    if o.kind == "archived":
+        return replace(run, state="completed" if o.completed else "running", cursor=run.cursor if o.completed else o.cursor, pages=run.pages + 1, attempt=0, next_at=o.at, last_observation=o.observation, last_key=o.key, updated_at=now)
+    if o.kind == "deferred":
+        if o.reason == "credential_halt":
+            return ended(failure("credential_failure", None, "the budget is halted", now))
+        return replace(run, state="waiting", next_at=o.at, updated_at=now)
+    if o.kind == "retry":
+        return replace(run, state="running", attempt=run.attempt + 1, next_at=o.at, updated_at=now)
+    if o.kind == "pending":
+        return replace(run, state="waiting", pending={"report": o.report, "then": o.then}, next_at=o.at, attempt=run.attempt + o.failed, updated_at=now)
+    if o.kind == "resolved":
+        if o.then["kind"] == "terminal":
+            return ended(o.then["error"])
+        return replace(run, state="waiting", pending=None, next_at=o.then["at"], updated_at=now)
+    return ended(o.error)
 
 
 class Channel:
-    """The runs of one channel: start, status, current, list, resume, and a tick of at most `most` pages."""
-
-    def __init__(self, **ports):
-        self.runs: dict[str, Run] = {}
-        self.ports = ports
-
-    def start(self, run_id: str, body: dict, now: int = 0) -> tuple[int, str]:
-        """(202 and the run's id, or 409 and the active one's; 400 for a bad request)."""
-        try:
-            got = validate_start(body)
-        except ValueError as e:
-            return 400, str(e)
-        if (active := self.active()) is not None:
-            return 409, active.run_id
-        self.runs[run_id] = Run(run_id, got["guild_id"], got["channel_id"], got["page_limit"], got["before"], got["after"], created_at=now)
-        return 202, run_id
+    """The runs of one channel, at most one of them active, with their wake-up time and route buckets: one object in the
+    control store, replaced at each step. Opening a channel sets the wake-up of an active run that lost it."""
+
+    def __init__(self, control: ControlStore, channel_id: str, ports: Ports, most: int = 5):
+        self.control, self.key, self.ports, self.most = control, f"crawl/channel-{channel_id}.json", ports, most
+        self.resume()
+
+    def _load(self) -> dict:
+        return self.control.get(self.key) or {"runs": {}, "wake_at": None, "buckets": {}}
+
+    @staticmethod
+    def _active(state: dict) -> Run | None:
+        return next((Run(**r) for r in state["runs"].values() if r["state"] in ACTIVE), None)
+
+    def start(self, body: dict) -> tuple[bool, Run]:
+        """(True, new run), or (False, the active one)."""
+        state = self._load()
+        if (active := self._active(state)) is not None:
+            return False, active
+        now = self.ports.now()
+        run = Run(uuid7(now, self.ports.seed()), body["guild_id"], body["channel_id"], body["page_limit"], body["before"], body["after"], next_at=now, created_at=now, updated_at=now)
+        state["runs"][run.run_id] = asdict(run)
+        self.control.put(self.key, state | {"wake_at": now})
+        return True, run
 
     def active(self) -> Run | None:
-        return next((r for r in self.runs.values() if r.state in ACTIVE), None)
+        return self._active(self._load())
 
     def status(self, run_id: str) -> Run | None:
-        return self.runs.get(run_id)
+        r = self._load()["runs"].get(run_id)
+        return None if r is None else Run(**r)
+
+    def list(self) -> list[Run]:
+        """Newest first."""
+        return sorted((Run(**r) for r in self._load()["runs"].values()), key=lambda r: -r.created_at)
 
     def current(self) -> Run | None:
-        return self.active() or max(self.runs.values(), key=lambda r: r.created_at, default=None)
+        return self.active() or next(iter(self.list()), None)
 
-    def list(self) -> list[Run]:
-        return sorted(self.runs.values(), key=lambda r: -r.created_at)
+    def wake_at(self) -> int | None:
+        return self._load()["wake_at"]
 
-    def resume(self) -> bool:
-        return self.active() is not None
+    def buckets(self) -> dict:
+        return self._load()["buckets"]
 
-    def tick(self, now: int, budget: Budget, most: int = 5) -> Run | None:
-        run = self.active()
-        for _ in range(most):
-            if run is None or run.state not in ACTIVE or run.next_at > now:
+    def resume(self) -> bool:
+        """Sets the wake-up time of an active run that has none; True if a run is active."""
+        state = self._load()
+        run = self._active(state)
+        if run is not None and state["wake_at"] is None:
+            self.control.put(self.key, state | {"wake_at": max(run.next_at, self.ports.now())})
+        return run is not None
+
+    def tick(self) -> Run | None:
+        """A wake-up: at most `most` pages, until the run must wait or ends. The wake-up time is taken first, and set
+        again last, so a crash in between is mended by resume."""
+        state = self._load()
+        run = self._active(state)
+        if run is None:
+            return None
+        self.control.put(self.key, state := state | {"wake_at": None})
+        for _ in range(self.most):
+            if self.ports.now() < run.next_at:
+                break
+            try:
+                o = page(run, self.ports) if run.pending is None else deliver(run, self.ports)
+            except Crash:
+                raise
+            except Exception as e:
+                o = Outcome("retry", self.ports.now() + backoff(run.attempt), f"unexpected: {e}")
+            if o.kind == "archived":
+                self.ports.fault("after_archive_before_progress")
+            run = apply(run, o, self.ports.now())
+            state["runs"][run.run_id] = asdict(run)
+            if o.bucket is not None:
+                state["buckets"][o.bucket["route_key"]] = o.bucket
+            self.control.put(self.key, state)
+            self.ports.fault("after_progress_before_alarm")
+            if o.kind == "pending" and not o.failed:
+                continue  # tell the budget at once
+            if o.kind != "archived" or o.completed:
                 break
-            run = self.runs[run.run_id] = step(run, now, budget, **self.ports)
+        if run.state in ACTIVE:
+            self.control.put(self.key, state | {"wake_at": run.next_at})
         return run

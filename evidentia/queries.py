@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from .functions import scalars as S
 from .operators import equivalence as E
+from .operators import erasure
 from .operators import projection as P
+from .schemas import ENVELOPE
+from .sources.catalog import live_files
 from .streaming.incremental import replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,27 +59,47 @@ def current_state(spark, sf):
 @query(WINNERS.format(where=""))
 def chunked_reduce_state(spark, sf):
     rows = seen(spark, sf).withColumn("chunk", F.col("event_id") % 7)
-    part = rows.groupBy("user_id", "chunk").agg(F.max_by(F.struct("event_id", "ts", "event_type", "ed"), F.struct(*ORDER)).alias("x")).select("user_id", "x.*")
+    part = P.union(*[P.best_known(rows.where(F.col("chunk") == k).drop("chunk"), "user_id", ORDER) for k in range(7)])
     return P.best_known(part, "user_id", ORDER).select("user_id", "event_id", "ts", "event_type")
 
 
 @query(WINNERS.format(where="where ts <= TIMESTAMP '2024-01-15 00:00:00'"))
 def historical_state_at_t(spark, sf):
-    rows = seen(spark, sf).where("ts <= timestamp_ntz'2024-01-15 00:00:00'")
+    rows = P.seen_until(seen(spark, sf), F.col("ts"), F.expr("timestamp_ntz'2024-01-15 00:00:00'"))
     return P.best_known(rows, "user_id", ORDER).select("user_id", "event_id", "ts", "event_type")
 
 
 @query("select distinct event_id, user_id, event_type from events")
 def observation_dedup(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return e.unionByName(e).dropDuplicates(["event_id"])
+    return P.once(P.union(e, e), "event_id", "event_type")
 
 
-@query("select conv_id, row_number() over (partition by conv_id order by turn) - 1 as pos, role, text from conversations")
+def envelopes(spark, sf):
+    """Conversations as HTTP observations: a conversation is a page, a turn a message."""
+    ident = F.format_string("%08x-0000-7000-8000-%012x", F.col("conv_id"), F.col("conv_id"))
+    message = F.struct(
+        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"), F.col("conv_id").cast("string").alias("channel_id"), F.struct(F.when(F.col("role") == "user", SUBJECT).otherwise("2").alias("id"), F.col("role").alias("username"), F.lit(False).alias("bot")).alias("author"),
+        F.col("text").alias("content"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"), F.lit(False).alias("pinned"), F.lit(0).alias("type"), F.col("turn").alias("unknown_member"),
+    )
+    page = table(spark, sf, "conversations").groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))), lambda x: x.m)).alias("payload"))  # a page's size
+    rest = F.from_json(F.lit('{"guild_id": "1", "operation": "get_channel_messages"}'), ENVELOPE["provenance"].dataType)
+    return page.select("conv_id", F.lit("v1").alias("envelope_version"), ident.alias("observation_id"), F.lit("http_backfill").alias("source_kind"), F.lit("2024-02-01T00:00:00.000Z").alias("observed_at"), "payload", rest.alias("provenance"))
+
+
+SUBJECT = "4711000000000000001"
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, cast(conv_id as varchar) as channel_id, row_number() over (partition by conv_id order by turn) - 1 as pos, role as author_username, text as content from conversations")
 def page_decode_explode(spark, sf):
-    page = table(spark, sf, "conversations").groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))), {"ignoreNullFields": "false"}).alias("payload"))
-    rows = page.select("conv_id", F.posexplode(F.from_json("payload", "array<struct<role:string,text:string>>", {"mode": "FAILFAST"})))
-    return rows.select("conv_id", F.col("pos").cast("long").alias("pos"), "col.role", "col.text")
+    rows = P.snapshots(P.once(P.validated(envelopes(spark, sf).drop("conv_id"))))
+    return rows.select("message_id", "channel_id", F.col("place").cast("long").alias("pos"), "author_username", "content")
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, printf('%08x-0000-7000-8000-%012x', conv_id, conv_id) as observation_id, text as content, (conv_id * 1000 + turn) // 4194304 + 1420070400000 as ms from conversations")
+def canonical_projection(spark, sf):
+    c = P.project(envelopes(spark, sf).drop("conv_id"))
+    return c.select("message_id", "observation_id", "content", F.unix_millis("snowflake_time").alias("ms"))
 
 
 @query(f"select event_id, (({MS} - 1420070400000) << 22) + (event_id & 4095) as snowflake, {MS} as ms from events")
@@ -85,9 +108,22 @@ def snowflake_roundtrip(spark, sf):
     return e.withColumn("ms", S.snowflake_ms(F.col("snowflake").cast("string")))
 
 
-@query("select event_type, sha256(string_agg(cast(event_id as varchar), chr(10) order by cast(event_id as varchar)) || chr(10)) as identity from events group by event_type")
+@query("select event_id // 500 as chunk, sha256(string_agg(cast(event_id as varchar), chr(10) order by cast(event_id as varchar)) || chr(10)) as identity from events group by chunk")
 def chunk_identity(spark, sf):
-    return P.identity(table(spark, sf, "events"), "event_type", ids=F.col("event_id").cast("string"))
+    e = table(spark, sf, "events").select(F.expr("event_id div 500").alias("chunk"), F.col("event_id").cast("string").alias("id"))
+    return P.identity(e, "chunk", ids=F.col("id"))
+
+
+HASHED = "count(*) as members, cast(sum(cast('0x' || substr(sha256(l), 1, 15) as bigint)) as varchar) as total, cast(sum(cast('0x' || substr(sha256(l), 16, 15) as bigint)) as varchar) as mixed"
+
+
+def as_text(digest: DataFrame) -> DataFrame:
+    return digest.withColumns({c: F.col(c).cast("string") for c in ("total", "mixed")})
+
+
+@query(f"select {HASHED} from (select url || '#' || page_id as l from pages)")
+def manifest_digest(spark, sf):
+    return as_text(P.set_digest(table(spark, sf, "pages"), ids=F.concat_ws("#", "url", "page_id")))
 
 
 @query("select batch, sha256(string_agg(k, chr(10) order by k) || chr(10)) as identity from (select (row_number() over (order by doc_id) - 1) // 200 as batch, doc_id || '|' || n_chars as k from documents) group by batch")
@@ -141,10 +177,10 @@ def symmetric_diff(spark, sf):
     return E.diff(a, b)
 
 
-@query("select o_orderkey from orders where o_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')")
+@query("select path from (select o_custkey as path, o_orderstatus, row_number() over (partition by o_custkey order by o_orderkey desc) as n from orders) where n = 1 and o_orderstatus <> 'F'")
 def referenced_files(spark, sf):
-    o = table(spark, sf, "orders")
-    return o.select("o_orderkey").join(o.where("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey", "left_anti")
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("path"), F.col("o_orderkey").alias("n"), F.when(F.col("o_orderstatus") == "F", "DELETED").otherwise("ADDED").alias("status"))
+    return live_files(o)
 
 
 @query("select event_type as channel_id, date_trunc('hour', ts) as bucket, count(*) as messages, count(distinct user_id) as speakers from events group by all")
@@ -153,11 +189,11 @@ def activity_hourly(spark, sf):
     return P.activity(e).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
-@query("select conv_id, count(*) filter (where role <> 'user') as kept, count(*) filter (where role = 'user') as erased from conversations group by conv_id")
+@query("select conv_id, count(*) filter (where role <> 'user') as kept, count(*) filter (where role = 'user') > 0 as erased, coalesce(sum(turn) filter (where role <> 'user'), 0)::bigint as unknown_members from conversations group by conv_id")
 def erasure_filter_array(spark, sf):
-    page = table(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("roles"))
-    left = F.filter("roles", lambda r: r != "user")
-    return page.select("conv_id", F.size(left).cast("long").alias("kept"), (F.size("roles") - F.size(left)).cast("long").alias("erased"))
+    page = erasure.erase(envelopes(spark, sf), SUBJECT, "run")
+    left = F.from_json("payload", "array<struct<unknown_member:long>>", {"mode": "FAILFAST"})
+    return page.select("conv_id", F.size(left).cast("long").alias("kept"), "erased", F.aggregate(left, F.lit(0).cast("long"), lambda a, x: a + x.unknown_member).alias("unknown_members"))
 
 
 @query("select a as attempt, least(300000, 2000 * (1 << least(a, 10))) as backoff_ms from range(13) t(a)")
@@ -201,7 +237,7 @@ def route_bucket(spark, sf):
 
 @query("select event_id, ts, event_type from events where user_id = 7 order by ts desc, event_id desc limit 20")
 def author_history_topn(spark, sf):
-    return table(spark, sf, "events").where("user_id = 7").select("event_id", "ts", "event_type").orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(20)
+    return P.latest(table(spark, sf, "events").where("user_id = 7").select("event_id", "ts", "event_type"), ("ts", "event_id"), 20)
 
 
 @query("select count(*) as n from documents")
@@ -211,22 +247,39 @@ def corpus_count(spark, sf):
 
 @query("select doc_id, n_chars from documents where text ilike '%the%'")
 def content_search(spark, sf):
-    return table(spark, sf, "documents").where(F.col("text").ilike("%the%")).select("doc_id", "n_chars")
+    return P.holding(table(spark, sf, "documents"), "the", "text").select("doc_id", "n_chars")
 
 
 @query(f"select w.user_id, w.event_id, e.value, e.props from ({WINNERS.format(where='')}) w join events e on w.event_id = e.event_id")
 def lineage_drilldown(spark, sf):
-    return current_state(spark, sf).select("user_id", "event_id").join(table(spark, sf, "events").select("event_id", "value", "props"), "event_id").select("user_id", "event_id", "value", "props")
+    return P.lineage(current_state(spark, sf).select("user_id", "event_id"), table(spark, sf, "events").select("event_id", "value", "props"), "event_id")
 
 
 @query("select doc_id from documents where doc_id not in (select doc_id from labels where toxic = 1)")
 def suppression_anti_join(spark, sf):
-    return table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
+    key = b"secret of this query"
+    tokens = erasure.mark_suppressed(table(spark, sf, "labels").where("toxic = 1"), key, "doc_id")
+    return erasure.suppress(table(spark, sf, "documents").select("doc_id", S.subject_tokens(key, F.col("doc_id")).alias("token")), tokens).select("doc_id")
 
 
-@query(f"select sha256(string_agg(l, chr(10) order by l) || chr(10)) as digest from (select user_id || chr(9) || event_id || chr(9) || event_type as l from ({WINNERS.format(where='')}))")
+TIME = "strftime({0}, '%Y-%m-%dT%H:%M:%S') || regexp_replace('.' || strftime({0}, '%f'), '\\.?0*$', '') || 'Z'"
+LINE = f"""concat_ws(chr(31), cast(user_id as varchar), event_type, '', cast(user_id as varchar), coalesce(props, ''), {TIME.format("ts")},
+    case when event_type = 'purchase' then {TIME.format("ts")} else '' end, case when event_type = 'purchase' then 'true' else 'false' end, cast(event_id as varchar), {TIME.format("ts")}, 'v')"""
+
+
+@query(f"select {HASHED} from (select {LINE} as l from (select w.*, e.props from ({WINNERS.format(where='')}) w join events e on w.event_id = e.event_id))")
 def equivalence_digest(spark, sf):
-    return P.identity(current_state(spark, sf), ids=F.concat_ws("\t", "user_id", "event_id", "event_type")).withColumnRenamed("identity", "digest")
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", F.when(F.col("event_type") == "purchase", F.col("ts")).alias("ed"), "props")
+    known, t = P.best_known(e, "user_id", ORDER), F.col("ts").cast("timestamp")
+    user = F.col("user_id").cast("string")
+    return as_text(
+        E.digest_any(
+            known.select(
+                user.alias("message_id"), F.col("event_type").alias("channel_id"), F.lit("").alias("guild_id"), user.alias("author_id"), F.col("props").alias("content"), t.alias("created_at"), F.col("ed").cast("timestamp").alias("edited_at"),
+                (F.col("event_type") == "purchase").alias("pinned"), F.col("event_id").cast("string").alias("observation_id"), t.alias("observed_at"), F.lit("v").alias("projection_version"),
+            )
+        )
+    )
 
 
 @query("select min(event_id) as oldest from events")
@@ -242,19 +295,30 @@ def compare_ids(spark, sf):
     return table(spark, sf, "events").select("event_id", S.compare_ids(a, b).alias("sign"))
 
 
-@query("select distinct user_id, event_type from events where event_id % 2 = 0")
+@query("select distinct user_id, event_type from events")
 def union_of_groups(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_type")
-    return e.where("user_id % 3 = 0").unionByName(e.where("user_id % 3 <> 0")).distinct()
+    return P.union(*[e.where(F.pmod("user_id", F.lit(3)) == k) for k in range(3)], e.where("user_id is null")).distinct()
 
 
 @query("select user_id, event_id, count(*) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as version from events")
 def snapshot_history(spark, sf):
-    return seen(spark, sf).select("user_id", "event_id", F.count("*").over(W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, 0)).alias("version"))
+    return P.versions(seen(spark, sf), "user_id", ("ts", "event_id")).select("user_id", "event_id", "version")
+
+
+BUDGET = f"""
+with recursive e as (select user_id, event_id as id, {MS} as ms, row_number() over (partition by user_id order by {MS}, event_id) as n from events),
+f as (
+  select user_id, id, ms, n, true as granted, cast(null as bigint) as older, ms as newer from e where n = 1
+  union all
+  select e.user_id, e.id, e.ms, e.n, older is null or older <= e.ms - 86400000,
+    case when older is null or older <= e.ms - 86400000 then newer else older end, case when older is null or older <= e.ms - 86400000 then e.ms else newer end
+  from f join e on e.user_id = f.user_id and e.n = f.n + 1)
+select user_id, id, ms, granted from f"""
 
 
-@query()
+@query(BUDGET)
 def budget_replay(spark, sf):
-    """A fold: refused requests take no slot, which SQL can't say. Tests compare it with a plain loop."""
+    """A fold: refused requests take no slot. The last two grants are its state."""
     e = table(spark, sf, "events").select("user_id", F.col("event_id").alias("id"), ms().alias("ms"))
     return replay(e, "user_id", 2, 86_400_000)

@@ -1,51 +1,29 @@
-"""Small durable JSON objects of a run, under a folder."""
+"""Small durable JSON objects of a run, in a store."""
 
 from __future__ import annotations
 
 import json
-import os
-import uuid
 
+from pyspark.sql import SparkSession
+
+from .store import Store, store_at
 
-class ControlStore:
-    def __init__(self, root: str):
-        self.root = root
 
-    def path(self, key: str) -> str:
-        p = os.path.join(self.root, key)
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        return p
+class ControlStore:
+    def __init__(self, root: str | Store, spark: SparkSession | None = None):
+        self.store = store_at(root, spark) if isinstance(root, str) else root
+        self.root = self.store.root
 
     def put_if_absent(self, key: str, value) -> bool:
-        """True if this call made the object. A half-written object is never seen: it is linked into place."""
-        p = self.path(key)
-        tmp = f"{p}.{uuid.uuid4().hex}"
-        with open(tmp, "x", encoding="utf-8") as f:
-            json.dump(value, f)
-        try:
-            os.link(tmp, p)
-            return True
-        except FileExistsError:
-            return False
-        finally:
-            os.unlink(tmp)
+        """True if this call made the object."""
+        return self.store.put_if_absent(key, json.dumps(value).encode())
 
     def put(self, key: str, value) -> None:
-        p = self.path(key)
-        tmp = f"{p}.{uuid.uuid4().hex}"
-        with open(tmp, "x", encoding="utf-8") as f:
-            json.dump(value, f)
-        os.replace(tmp, p)
+        self.store.put(key, json.dumps(value).encode())
 
     def get(self, key: str):
-        try:
-            with open(os.path.join(self.root, key), encoding="utf-8") as f:
-                return json.load(f)
-        except FileNotFoundError:
-            return None
+        raw = self.store.get(key)
+        return None if raw is None else json.loads(raw)
 
     def list(self, prefix: str) -> list[str]:
-        out = []
-        for d, _, names in os.walk(os.path.join(self.root, prefix)):
-            out += [os.path.relpath(os.path.join(d, n), self.root) for n in names if n.endswith(".json")]
-        return sorted(out)
+        return [k for k, _ in self.store.list(prefix) if k.endswith(".json")]

@@ -1,5 +1,8 @@
 """Projection, archive, rebuild and crawl: fixed cases and invariants."""
 
+import gzip
+import json
+import os
 import random
 from datetime import UTC, datetime, timedelta
 
@@ -9,16 +12,15 @@ from pyspark.sql import functions as F
 from evidentia.functions import scalars as S
 from evidentia.operators import equivalence as E
 from evidentia.operators import projection as P
-from evidentia.plans import crawl, materialize
+from evidentia.plans import materialize
 from evidentia.schemas import CANONICAL, COLUMNS, ENVELOPE
 from evidentia.sources import archive
-from evidentia.sources.catalog import Catalog
+from evidentia.sources.catalog import Catalog, inspect
 from evidentia.sources.control import ControlStore
+from evidentia.sources.store import HadoopStore, LocalStore
 
 
 def envelopes(spark, envs):
-    import json
-
     rows = [json.dumps(e | {"payload": archive.payload_text(e)}) for e in envs]
     return spark.createDataFrame([(r,) for r in rows], "v string").select(F.from_json("v", ENVELOPE).alias("e")).select("e.*")
 
@@ -49,13 +51,38 @@ def test_order_and_duplicates_change_nothing(spark, pages, state):
     assert sorted(map(tuple, P.reduce(*parts).collect())) == state
 
 
+def with_page(env, *messages):
+    return env | {"payload": list(messages)}
+
+
+MESSAGE = {"id": "175928847299117063", "channel_id": "2", "author": {"id": "3", "username": "u", "bot": False}, "content": "c", "timestamp": "2026-01-01T00:00:00Z"}
+
+
 def test_refused(spark, pages):
-    for change in ({"envelope_version": "v2"}, {"observation_id": "123e4567-e89b-12d3-a456-426614174000"}, {"source_kind": "gateway"}):
+    for change in ({"envelope_version": "v2"}, {"observation_id": "123e4567-e89b-12d3-a456-426614174000"}, {"source_kind": "gateway"}, {"observed_at": "2026-01-01T00:00:00"}):
         with pytest.raises(Exception):  # noqa: B017
             P.project(envelopes(spark, [pages[0] | change])).collect()
     other = pages[0] | {"payload": pages[1]["payload"]}
     with pytest.raises(Exception, match="two payloads"):
-        P.project(envelopes(spark, [pages[0], other])).collect()
+        P.once(envelopes(spark, [pages[0], other])).count()
+
+
+@pytest.mark.parametrize("change", [{"id": "x"}, {"id": ""}, {"timestamp": "2026-01-01 00:00:00"}, {"timestamp": None}, {"edited_timestamp": "soon"}])
+def test_refusals_hold_whatever_is_read(spark, pages, change):
+    e = envelopes(spark, [with_page(pages[0], MESSAGE, MESSAGE | change)])
+    for read in (lambda: P.project(e).count(), lambda: P.history(e).select("content").collect(), lambda: P.snapshots(e).select(F.lit(1)).collect()):
+        with pytest.raises(Exception):  # noqa: B017
+            read()
+    with pytest.raises(Exception, match="not an HTTP"):
+        P.snapshots(envelopes(spark, [pages[0] | {"source_kind": "gateway"}])).count()
+
+
+def test_strict_contract(spark, pages):
+    assert P.validated(envelopes(spark, pages), True).count() == 4
+    p = pages[0]["provenance"]
+    for change in ({"limit": 0}, {"http_status": 99}, {"capabilities": {}}, {"guild_id": "g"}, {"operation": None}, {"rate_limit": None}, {"request_started_at": "now"}, {"pagination": {"before": "x", "after": None}}):
+        with pytest.raises(Exception, match="refused envelope"):
+            P.validated(envelopes(spark, [pages[0] | {"provenance": p | change}]), True).count()
 
 
 def test_scalars(spark):
@@ -66,83 +93,167 @@ def test_scalars(spark):
     assert one.select(S.retry_after_ms(F.lit(0.75), F.lit(3.0)), S.retry_after_ms(F.lit(None).cast("double"), F.lit(3.0))).first() == (750, 3000)
 
 
-def test_archive_and_rebuild(spark, pages, state, tmp_path):
+RUN = "0199a1b2-0000-7000-8000-000000000001"
+
+
+def test_archive(spark, pages, state, tmp_path):
     root = str(tmp_path / "a")
     assert [archive.put(root, e) for e in pages] == ["created"] * 4 and archive.put(root, pages[0]) == "idempotent_retry"
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="another observation"):
         archive.put(root, pages[0] | {"payload": []})
-    assert sorted(map(tuple, materialize.rebuild(spark, root).collect())) == state
-    late = datetime.now(UTC) + timedelta(days=1)
-    catalog, control = Catalog(spark, str(tmp_path / "t")), ControlStore(str(tmp_path / "c"))
-    cfg = materialize.Config("r1", root, chunk=2, batch=40, crash="after_commit")
-    with pytest.raises(materialize.Crash):
-        materialize.run(spark, control, catalog, cfg, late)
-    cfg.crash = None
-    cfg.max_units = 1
-    while materialize.run(spark, control, catalog, cfg, late)["phase"] != "completed":
-        pass
-    assert len(catalog.referenced("message")) == 3 and sorted(map(tuple, catalog.scan("message").collect())) == state
-    assert E.digest(catalog.scan("message")) == E.digest(materialize.rebuild(spark, root)) and E.digest_any(catalog.scan("message"))[0] == 85
-    assert catalog.sql("message", "select message_id, content from message order by message_id limit 500").count() == 85
-    files = catalog.referenced("message")
-    assert catalog.commit("message", files) == "already_referenced"
+    with pytest.raises(ValueError, match="refused"):
+        archive.put(root, pages[0] | {"envelope_version": "v2"})
+    key = archive.key_of(pages[0])
+    assert archive.get(root, key) == pages[0]
+    raw = (tmp_path / "a" / key).read_bytes()
+    assert archive.stored_metadata(raw) == archive.metadata(pages[0]) and archive.stored_metadata(gzip.compress(gzip.decompress(raw))) == archive.metadata(pages[0])
+    for bad in (raw[:-9], b"x", gzip.compress(b"{}"), gzip.compress(b"[")):
+        with pytest.raises(ValueError):
+            archive.decode(bad)
+    assert archive.listing(spark, root).count() == 4 and sorted(map(tuple, materialize.rebuild(spark, root).collect())) == state
+    assert materialize.rebuild(spark, root, start=datetime(2026, 9, 21, tzinfo=UTC), end=datetime(2026, 9, 21, 0, 1, tzinfo=UTC)).count() == 25
+    assert archive.delete(root, key) and not archive.delete(root, key) and archive.listing(spark, root).count() == 3
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "schema.json").write_text("{}")
+    (tmp_path / "f" / "b.json").write_text(json.dumps(pages[1]))
+    (tmp_path / "f" / "a.json").write_text(json.dumps(pages[0]))
+    assert archive.load_fixtures(str(tmp_path / "f")) == pages[:2]
+    (tmp_path / "f" / "c.json").write_text("{}")
     with pytest.raises(ValueError):
-        catalog.commit("message", [files[0], "/new"])
-    assert E.diff(E.rows(catalog.scan("message")), E.rows(materialize.rebuild(spark, root))).count() == 0
+        archive.load_fixtures(str(tmp_path / "f"))
 
 
-def test_parquet_field_ids(spark, state, tmp_path):
-    import pyarrow.parquet as pq
+@pytest.mark.parametrize("make", [lambda spark, p: LocalStore(str(p)), lambda spark, p: HadoopStore(spark, f"file://{p}/h")])
+def test_stores(spark, tmp_path, make):
+    s = make(spark, tmp_path)
+    assert s.put_if_absent("a/x.json", b"1") and not s.put_if_absent("a/x.json", b"2") and s.get("a/x.json") == b"1" and s.get("a/y.json") is None
+    s.put("a/x.json", bytes(range(256)))
+    s.put("b.json", b"")
+    assert s.get("a/x.json") == bytes(range(256)) and [k for k, _ in s.list()] == ["a/x.json", "b.json"] and [k for k, _ in s.list("a")] == ["a/x.json"]
+    assert s.delete("a") and s.get("a/x.json") is None and s.list("a") == []
 
-    spark.createDataFrame([tuple(r) for r in state[:3]], CANONICAL).coalesce(1).write.option("compression", "zstd").parquet(str(tmp_path / "p"))
-    f = next((tmp_path / "p").glob("*.parquet"))
-    assert [int(x.metadata[b"PARQUET:field_id"]) for x in pq.read_schema(f)] == list(range(1, 17))
-    assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
 
+def test_half_written_object_is_never_seen(pages, tmp_path, monkeypatch):
+    def dies(*_):
+        raise OSError("disk")
+
+    root = str(tmp_path / "a")
+    monkeypatch.setattr("os.link", dies)
+    with pytest.raises(OSError):
+        archive.put(root, pages[0])
+    monkeypatch.undo()
+    assert LocalStore(root).list() == [] and archive.put(root, pages[0]) == "created"
+
+
+@pytest.mark.parametrize("point", ["after_candidates", "after_stage", "after_commit"])
+def test_resumed_run(spark, pages, state, tmp_path, point):
+    root, crashes = str(tmp_path / "a"), []
+    for e in pages:
+        archive.put(root, e)
+
+    def fault(p):
+        if p == point and not crashes:
+            crashes.append(p)
+            raise RuntimeError("crash")
+
+    class Counted(materialize.SparkArchive):
+        read = 0
+
+        def envelopes(self, keys):
+            Counted.read += 1
+            return super().envelopes(keys)
+
+    late = datetime.now(UTC) + timedelta(days=1)
+    catalog, control, reader = Catalog(spark, str(tmp_path / "t")), ControlStore(str(tmp_path / "c")), Counted(spark, root)
+    cfg = materialize.Config(RUN, chunk=2, batch=40, concurrency=2, fault=fault)
+    with pytest.raises(RuntimeError):
+        materialize.run(spark, control, catalog, reader, cfg, late)
+    assert control.get(f"runs/{RUN}/status.json")["failure"] == "crash"
+    began = control.get(f"runs/{RUN}/status.json")["started_at"]
+    archive.put(root, pages[0] | {"observation_id": archive.uuid7(1, b"later")})  # not in the fixed manifest
+    cfg.max_units, n = 1, 0
+    while (got := materialize.run(spark, control, catalog, reader, cfg, late))["phase"] != "completed":
+        n += 1
+    assert n and got["started_at"] == began and got["failure"] == "" and got["row_count"] == 85 and got["commit_batch_count"] == 3
+    assert Counted.read <= 2 + (point == "after_candidates") * 2
+    assert len(catalog.referenced("message")) == 3 and sorted(map(tuple, catalog.scan("message").collect())) == state
+    one = control.get(f"runs/{RUN}/extract/00000.json")
+    assert one["object_keys"] == 2 and one["row_count"] == 45 and len(one["chunk_id"]) == len(one["digest"]) == 64
+    assert E.digest(catalog.scan("message")) == E.digest(P.project(envelopes(spark, pages)))
+    files = catalog.referenced("message")
+    for f in files:
+        ids = [r.message_id for r in spark.read.parquet(f).collect()]
+        assert ids == sorted(ids)
+    assert inspect(catalog.store, os.path.relpath(files[0], catalog.root)) == {"rows": 40, "codecs": ["ZSTD"]}
+    assert catalog.commit("message", files) == catalog.commit("message", []) == "already_referenced"
+    with pytest.raises(ValueError):
+        catalog.commit("message", [files[0], "/new"])
+    with pytest.raises(ValueError):
+        catalog.add_files("message", files[:1])
+    assert catalog.sql("message", "select message_id, content from message order by message_id limit 500").count() == 85
+    assert materialize.run(spark, control, catalog, reader, cfg, late)["phase"] == "completed" and catalog.referenced("message") == files
+    with pytest.raises(ValueError, match="run id"):
+        materialize.run(spark, control, catalog, reader, materialize.Config("r1"))
+    assert catalog.drop("message") and not catalog.exists("message")
 
-def crawl_with(responses, page_limit=3):
-    sent, kept = [], []
 
-    def fetch(run):
-        sent.append(run.request_before())
-        r = responses(run, len(sent))
-        if isinstance(r, Exception):
-            raise r
-        return {"headers": {}, "done_ms": 0} | r
+def test_commits_of_two_writers(spark, tmp_path, monkeypatch):
+    one, two = (Catalog(spark, str(tmp_path)) for _ in range(2))
+    one.ensure_table("t")
+    read = Catalog.state
 
-    b, n = crawl.Budget(), iter(range(10**6))
-    ch = crawl.Channel(fetch=fetch, commit=lambda run, r: kept.append(r["body"]), report=lambda x: b.report(x["report_id"], x["now"], x["status"], x["scope"], x["is_global"], x["retry_ms"]), new_id=lambda: str(next(n)))
-    assert ch.start("r", {"guild_id": "1", "channel_id": "2", "page_limit": page_limit})[0] == 202
-    return ch, b, sent, kept
+    def late(self, name):
+        got = read(self, name)
+        if self is one and not two.referenced("t"):
+            two.commit("t", ["/a"])
+        return got
 
+    monkeypatch.setattr(Catalog, "state", late)
+    with pytest.raises(ValueError):
+        one.commit("t", ["/a", "/b"])
+    assert two.referenced("t") == ["/a"]
+    monkeypatch.undo()
+    for i in range(140):
+        assert one.commit("t", [f"/{i}"]) == "committed"
+    assert len(two.referenced("t")) == 141 and one.store.get("t/kept/last.json") == b'{"n": 128}' and len(one.snapshots("t")) == 142
+    assert one.replace("t", ["/z"]) == "committed" and two.referenced("t") == ["/z"]
 
-def paged(run, _):
-    top = 1000006 if run.request_before() is None else int(run.request_before()) - 1
-    return {"status": 200, "body": [{"id": str(i)} for i in range(top, max(999999, top - run.page_limit), -1)]}
 
+def test_equivalence_sees_each_field(spark, state):
+    table = spark.createDataFrame([tuple(r) for r in state], CANONICAL)
+    base, exact = E.digest_any(table).first(), E.digest(table)
+    for c in E.FIELDS:
+        kind = CANONICAL[c].dataType.simpleString()
+        new = {"boolean": ~F.col(c), "timestamp": F.coalesce(F.col(c), F.col("created_at")) + F.expr("interval 1 microsecond")}.get(kind, F.concat(c, F.lit("x")))
+        other = table.withColumn(c, F.when(F.col("message_id") == state[0][0], new).otherwise(F.col(c)))
+        assert E.digest_any(other).first() != base and E.digest(other) != exact
+        assert sorted(r.sign for r in E.diff(E.rows(table), E.rows(other)).collect()) == ["+", "-"]
+        assert E.same_identities(table, other) == (c not in E.IDENTITY)
+    assert E.diff(E.rows(table), E.rows(table.unionByName(table))).count() == 0
 
-def test_crawl_completes():
-    ch, b, sent, kept = crawl_with(paged)
-    assert ch.tick(0, b).state == "completed" and sent == [None, "1000004", "1000001"] and sum(map(len, kept)) == 7
-    assert ch.start("q", {"guild_id": "1", "channel_id": "x"})[0] == 400
 
+def test_quoting():
+    assert E.quoted('a"b\\\n\t\x00\x7f é\u200b\U0001f600\u00a0') == '"a\\"b\\\\\\n\\t\\x00\\x7f é\\u200b\U0001f600\\u00a0"'
 
-@pytest.mark.parametrize(("status", "state"), [(401, "halted"), (403, "failed"), (429, "waiting"), (404, "failed"), (500, "running")])
-def test_crawl_refusals(status, state):
-    ch, b, _, kept = crawl_with(lambda run, n: {"status": status, "body": {"retry_after": 2.5}})
-    run = ch.tick(0, b)
-    assert run.state == state and not kept and run.pending is None
-    assert run.next_at == {429: 2500, 500: 2000}.get(status, 0)
 
+def test_parquet_field_ids(spark, state, tmp_path):
+    import pyarrow.parquet as pq
 
-def test_budget_matches_loop():
-    b = crawl.Budget(ceiling=2, window_ms=10)
-    assert [b.acquire(t)[0] for t in (0, 1, 2, 9, 10, 11, 12)] == [True, True, False, False, True, True, False]
-    b.report("x", 20, 429, None, True, 100)
-    b.report("x", 25, 429, None, True, 100)
-    assert b.acquire(119) == (False, "global_pause", 1) and b.acquire(120)[0]
+    spark.createDataFrame([tuple(r) for r in state[:3]], CANONICAL).coalesce(1).write.option("compression", "zstd").parquet(str(tmp_path / "p"))
+    f = next((tmp_path / "p").glob("*.parquet"))
+    assert [int(x.metadata[b"PARQUET:field_id"]) for x in pq.read_schema(f)] == list(range(1, 17))
+    assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
 def test_chunks(spark):
     got = P.chunks(spark.range(5).select(F.format_string("k%02d", "id").alias("k")), "k", 2).orderBy("k").collect()
     assert [r.chunk for r in got] == [0, 0, 1, 1, 2]
+
+
+def test_chunks_without_exchange_reuse(spark):
+    rows = spark.range(30_000).select((F.col("id") * 7919 % 30_000).alias("k"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert P.chunks(rows, "k", 70).where("chunk <> k div 70").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -33,8 +33,8 @@ def relations(envelopes: DataFrame) -> DataFrame:
         return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("other_id"))
 
     one = F.array(link("channel", F.col("m.channel_id")), link("thread", F.col("m.thread.id")), link("thread_parent", F.col("m.thread.parent_id")), link("answers", F.col("m.message_reference.message_id")))
-    files = F.transform(F.coalesce("m.attachments", F.array().cast("array<struct<id:string>>")), lambda x: link("attachment", x.id))
-    signs = F.transform(F.coalesce("m.reactions", F.array().cast("array<struct<emoji:struct<id:string,name:string>>>")), lambda x: link("reaction", F.coalesce(x.emoji.id, x.emoji.name)))
+    files = F.transform(F.coalesce("m.attachments", F.array().cast("array<struct<id:string>>")), lambda x: link("attachment", x["id"]))
+    signs = F.transform(F.coalesce("m.reactions", F.array().cast("array<struct<emoji:struct<id:string,name:string>>>")), lambda x: link("reaction", F.coalesce(x["emoji"]["id"], x["emoji"]["name"])))
     return m.select(F.col("m.id").alias("message_id"), F.explode(F.concat(one, files, signs)).alias("x")).select("message_id", "x.*").where("other_id is not null").distinct()
 
 

@@ -20,7 +20,6 @@ non-null id, null if there is none. An empty table gives an empty result. Other
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from .common import components, cut
 SEED = 42
 PART = 1 << 16  # shingles whose bits are counted at once
 SALTS = 8  # parts of an id's rows in kept
-WIDE = 4  # words of a fingerprint in similar_classes
+WIDE = 8  # words of a fingerprint in similar_classes
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -65,37 +64,43 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(each, f"id {kind}, fp long")
 
 
-def forest(unit: np.ndarray, fp: np.ndarray, radius: int, tile: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by (unit, population count). Spanning edges (row, smallest row of its class) of the
-    links inside each unit."""
-    n = len(fp)
-    pc, lab = np.bitwise_count(fp).astype(np.int16), np.arange(n)
-    ends = np.flatnonzero(np.append(unit[1:] != unit[:-1], True)) + 1
-    starts = np.append(0, ends[:-1])
-    end = np.repeat(ends, ends - starts)
-
-    def union(i: np.ndarray, j: np.ndarray) -> None:
+def joined(n: int, pairs) -> np.ndarray:
+    """Smallest row of each of n rows' class, under pairs (i, j) of arrays."""
+    lab = np.arange(n)
+    for i, j in pairs:
         while True:
             a, b = lab[i], lab[j]
             if not (odd := a != b).any():
-                return
+                break
             i, j, a, b = i[odd], j[odd], a[odd], b[odd]
             np.minimum.at(lab, np.maximum(a, b), np.minimum(a, b))
             while (up := lab[lab]).tobytes() != lab.tobytes():
                 lab[:] = up
+    return lab
+
 
-    small = (end - np.repeat(starts, ends - starts)) <= 128
+def close_pairs(unit: np.ndarray, fp: np.ndarray, radius: int, size: np.ndarray | None, least: float, tile: int):
+    """Pairs (i, j) of rows of one unit whose fingerprints (rows, words) differ in `radius` bits at most and whose sizes
+    allow a similarity of `least`. Rows are sorted by unit and population count; what differs more in that is skipped."""
+    n, words = fp.shape
+    pc = np.bitwise_count(fp).sum(axis=1, dtype=np.int16)
+    ends = np.flatnonzero(np.append(unit[1:] != unit[:-1], True)) + 1
+    starts = np.append(0, ends[:-1])
+    end, small = np.repeat(ends, ends - starts), (np.repeat(ends - starts, ends - starts)) <= 128
     rows, k, found = np.flatnonzero(small), 1, []
     while len(rows):
         rows = rows[rows + k < end[rows]]
         rows = rows[pc[rows + k] - pc[rows] <= radius]  # later ones differ even more
-        if len(rows):
-            hit = rows[np.bitwise_count(fp[rows] ^ fp[rows + k]) <= radius]
-            if len(hit):
-                found.append((hit, hit + k))
+        near = rows
+        if size is not None:
+            near = near[np.minimum(size[near], size[near + k]) >= least * np.maximum(size[near], size[near + k])]
+        d = np.bitwise_count(fp[near] ^ fp[near + k])
+        hit = near[(d[:, 0] if words == 1 else d.sum(axis=1, dtype=np.int16)) <= radius]
+        if len(hit):
+            found.append((hit, hit + k))
         k += 1
     if found:
-        union(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))
+        yield np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
     for lo, hi in zip(starts, ends, strict=True):
         if hi - lo <= 128:
             continue
@@ -104,9 +109,23 @@ def forest(unit: np.ndarray, fp: np.ndarray, radius: int, tile: int = 512) -> tu
             for b in range(a, hi, tile):
                 if pc[b] - pc[last - 1] > radius:
                     break
-                i, j = np.nonzero(np.bitwise_count(fp[a:last, None] ^ fp[None, b : min(b + tile, hi)]) <= radius)
-                union(i + a, j + b)
-    tied = np.flatnonzero(lab != np.arange(n))
+                to = min(b + tile, hi)
+                d = np.bitwise_count(fp[a:last, :1] ^ fp[None, b:to, 0]).astype(np.int16)
+                for w in range(1, words):
+                    d += np.bitwise_count(fp[a:last, w, None] ^ fp[None, b:to, w])
+                good = d <= radius
+                if size is not None:
+                    x, y = size[a:last, None], size[None, b:to]
+                    good &= np.minimum(x, y) >= least * np.maximum(x, y)
+                i, j = np.nonzero(good)
+                yield i + a, j + b
+
+
+def forest(unit: np.ndarray, fp: np.ndarray, radius: int, size: np.ndarray | None = None, least: float = 0.0, tile: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by (unit, population count). Spanning edges (row, smallest row of its class) of the
+    links inside each unit, see close_pairs."""
+    lab = joined(len(fp), close_pairs(unit, fp.reshape(len(fp), -1), radius, size, least, tile))
+    tied = np.flatnonzero(lab != np.arange(len(fp)))
     return tied, lab[tied]
 
 
@@ -233,139 +252,134 @@ def wide_fingerprint(h: np.ndarray, words: int = WIDE) -> np.ndarray:
     return out
 
 
-def radius_for(least: float, bits: int, few: bool) -> int:
+def radius_for(least: float, bits: int) -> int:
     """Bits in which fingerprints of sets with a Jaccard similarity of `least` differ at most, but for 4.5
-    deviations. A bit differs with probability angle / pi; odd and even sizes, and few members, raise it."""
-    p = math.acos(2 * least / (1 + least)) / math.pi * (1.25 if few else 1.08)
-    return math.ceil(bits * p + 4.5 * math.sqrt(bits * p * (1 - p)))
-
-
-def nearest(unit, t, root, size, fp, lo: int, hi: int, least: float, tile: int = 512) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Rows sorted by unit and population count; fp (rows, words). Each row's candidates are the rows of its unit
-    whose fingerprints differ by the radius at most and whose sizes allow the similarity, the closest first; the
-    pairs with the lo-th to (hi-1)-th candidate that are in different classes, and whether later ones are."""
-    n, bits = len(t), 64 * fp.shape[1]
-    few, many = radius_for(least, bits, True), radius_for(least, bits, False)
-    radius = np.where(size <= 6, few, many)
-    pc = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
-    ends = np.flatnonzero(np.append(unit[1:] != unit[:-1], True)) + 1
-    starts = np.append(0, ends[:-1])
-    end = np.repeat(ends, ends - starts)
-    small = np.repeat(ends - starts <= 128, ends - starts)
+    deviations. A bit differs with probability angle / pi, which few members raise by a quarter at most."""
+    p = math.acos(2 * least / (1 + least)) / math.pi * 1.1
+    few = p * 1.14  # sets of five or six members
+    return math.ceil(bits * few + 4.5 * math.sqrt(bits * p * (1 - p)))
+
+
+def by_hash(rows: DataFrame, weight, tile: int, key: str = "t", block: str = "block") -> DataFrame:
+    """rows with a column unit in place of `block`: the block, or each pair of tiles that a row takes part in where
+    the block weighs more than `tile`. Tiles are cut by the key's hash."""
+    heavy = rows.groupBy(block).agg(F.ceil(F.sum(weight) / tile).cast("int").alias("tiles")).where("tiles > 1")
+    own = f"pmod(xxhash64({key}, 7), tiles)"
+    units = f"explode(case when tiles is null then array({block}) else transform(sequence(0, tiles - 1), k -> xxhash64({block}, least(k, {own}), greatest(k, {own}))) end) unit"
+    return rows.join(heavy, block, "left").selectExpr(units, *[c for c in rows.columns if c != block])
+
+
+def exact_links(sets: list[np.ndarray], least: float, at_once: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning edges (i, smallest row of its class) of the sorted sets with a Jaccard similarity of `least` or more."""
+    n, size = len(sets), np.array([len(x) for x in sets])
+    if n <= 16:
+        pairs = []
+        for i in range(n):
+            for j in range(i + 1, n):
+                if min(size[i], size[j]) >= least * max(size[i], size[j]):
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if common >= least * (size[i] + size[j] - common):
+                        pairs.append((i, j))
+        pairs = [tuple(np.array(x) for x in zip(*pairs, strict=True))] if pairs else []
+    else:
+        member, row = np.unique(np.concatenate(sets), return_inverse=True)[1], np.repeat(np.arange(n), size)
+        shared = np.bincount(member) > 1
+        place = np.cumsum(shared) - 1
+        keep = shared[member]
+        member, row = place[member[keep]], row[keep]
+        order = np.argsort(member, kind="stable")
+        member, row = member[order], row[order]
+        common, wide = np.zeros((n, n), np.float32), max(1, at_once // n)
+        for lo in range(0, int(shared.sum()), wide):  # some members at a time: counts of common ones as a product
+            a, b = np.searchsorted(member, (lo, lo + wide))
+            m = np.zeros((n, wide), np.float32)
+            m[row[a:b], member[a:b] - lo] = 1
+            common += m @ m.T
+        good = common >= least * (size[:, None] + size[None] - common) - 1e-3
+        for i, j in zip(*np.nonzero(np.triu(good, 1) & (common < least * (size[:, None] + size[None] - common) + 1e-3)), strict=True):  # at the threshold: in whole numbers
+            c = int(common[i, j])
+            good[i, j] = c >= least * (size[i] + size[j] - c)
+        pairs = [np.nonzero(np.triu(good, 1))]
+    lab = joined(n, pairs)
+    tied = np.flatnonzero(lab != np.arange(n))
+    return tied, lab[tied]
 
-    def fits(i, j, d):
-        return (d <= np.maximum(radius[i], radius[j])) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]))
 
-    rows, k, found = np.flatnonzero(small), 1, []
-    while len(rows):
-        rows = rows[rows + k < end[rows]]
-        rows = rows[pc[rows + k] - pc[rows] <= few]  # later ones differ even more
-        d = np.bitwise_count(fp[rows] ^ fp[rows + k]).sum(axis=1, dtype=np.int64)
-        hit = fits(rows, rows + k, d)
-        found.append((rows[hit], rows[hit] + k, d[hit]))
-        k += 1
-    a, b, more = [], [], False
-    if found:
-        i, j, d = (np.concatenate([x[c] for x in found]) for c in range(3))
-        i, j, d = np.append(i, j), np.append(j, i), np.append(d, d)
-        order = np.lexsort((t[j], d, i))
-        i, j = i[order], j[order]
-        first = np.flatnonzero(np.append(True, i[1:] != i[:-1]))[: len(i)]
-        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
-        other = root[i] != root[j]
-        now = other & (rank >= lo) & (rank < hi)
-        a.append(i[now])
-        b.append(j[now])
-        more = bool((other & (rank >= hi)).any())
-    for x, y in zip(starts, ends, strict=True):
-        if y - x <= 128 or (root[x:y] == root[x]).all():
-            continue
-        for at in range(x, y, tile):
-            r = np.arange(at, min(at + tile, y))
-            left, right = np.searchsorted(pc[x:y], (pc[r[0]] - few, pc[r[-1]] + few + 1)) + x  # tiles beyond the radius are left out
-            c = np.arange(left, right)
-            d = np.zeros((len(r), len(c)), np.int16)
-            for w in range(fp.shape[1]):
-                d += np.bitwise_count(fp[r, w][:, None] ^ fp[c, w][None])
-            d[~fits(r[:, None], c[None], d) | (r[:, None] == c[None])] = 1 << 14
-            order = np.argsort(d, axis=1, kind="stable")
-            good = (np.take_along_axis(d, order, 1) < 1 << 14) & (root[r][:, None] != root[c][order])
-            more |= bool(good[:, hi:].any())
-            p, q = np.nonzero(good[:, lo:hi])
-            a.append(r[p])
-            b.append(c[order[p, q + lo]])
-    a, b = (np.concatenate([np.zeros(0, np.int64), *z]).astype(np.int64) for z in (a, b))
-    return t[a], t[b], more
-
-
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6, tile: int = 4096) -> DataFrame:
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6, tile: int = 4096, members: int = 1 << 19) -> DataFrame:
     """(id, t, component) for every row of docs: connected components of the texts whose sets of `width`-word
     shingles have a Jaccard similarity of `least` or more; t is the text's hash.
 
     Blocks are texts that share one of `bands` bands of `rows` MinHash values (at 0.8 a pair is missed with
-    probability (1 - 0.8 ** 6) ** 48, below 1e-6). Inside a block fingerprints of 256 bits are compared tile by
-    tile, see nearest, and candidates are decided by their exact similarity. Each round takes each text's next
-    closest candidates of other classes, twice as many as the round before, until none is left; so groups of
-    copies are joined by their closest pairs, and no block's pairs are all emitted. Blocks above `tile` texts are
-    cut into pairs of tiles."""
+    probability (1 - 0.8 ** 6) ** 48, below 1e-6). Inside a block fingerprints of 512 bits are compared tile by
+    tile with a radius that holds all similar pairs, which yields a spanning forest of the candidates. The texts that
+    these join are a cluster; inside it sets are compared exactly, which yields a spanning forest of the links. So
+    no group's pairs are emitted. Blocks above `tile` texts, and clusters above `members` shingles, are cut into
+    pairs of tiles."""
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("t", F.xxhash64("text"))
-    names = [f"f{k}" for k in range(WIDE)]
+    names, radius = [f"f{k}" for k in range(WIDE)], radius_for(least, 64 * WIDE)
 
     def signed(batches):
         r = np.random.default_rng(SEED)
         odd, mask = r.integers(0, 1 << 64, (2, bands * rows), np.uint64)
         odd |= np.uint64(1)
         for b in batches:
-            sets = [shingles(x.as_py(), width) for x in b.column(2)]
-            fps = np.array([wide_fingerprint(h) for h in sets], np.uint64).reshape(len(sets), WIDE).view(np.int64)
-            got = [band_hashes(h, odd, mask, rows).view(np.int64) for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64())), pa.array([len(h) for h in sets], pa.int64()), *(pa.array(np.ascontiguousarray(fps[:, k])) for k in range(WIDE))], ["id", "t", "bands", "size", *names])
+            got, size, fps = [], [], []
+            for x in b.column(2):
+                h = shingles(x.as_py(), width)
+                got.append(band_hashes(h, odd, mask, rows).view(np.int64))
+                fps.append(wide_fingerprint(h))
+                size.append(len(h))
+            fps = np.array(fps, np.uint64).reshape(len(size), WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64())), pa.array(size, pa.int64()), *(pa.array(np.ascontiguousarray(fps[:, k])) for k in range(WIDE))], ["id", "t", "bands", "size", *names])
 
     seen = cut(base.select("id", "t", "text").mapInArrow(signed, f"id {kind}, t long, bands array<long>, size long, {', '.join(f'{c} long' for c in names)}"), "similar")
     own = seen.groupBy("t").agg(F.any_value("bands").alias("bands"), F.any_value("size").alias("size"), *(F.any_value(c).alias(c) for c in names))
     spread = own.select("t", F.explode("bands").alias("block"))
     shared = spread.groupBy("block").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first <> last").select("block")
     spread = cut(spread.join(shared, "block"), "blocks")
-    paired = spread.select("t").distinct()  # texts with a candidate
-    prints = own.select("t", "size", *names).join(paired, "t", "left_semi").withColumn("pc", sum((F.bit_count(c) for c in names), F.lit(0)).cast("int"))
-    units = cut(in_units(spread.join(prints, "t"), radius_for(least, 64 * WIDE, True), tile, "t"), "units")
+    prints = own.select("t", "size", *names).withColumn("pc", sum((F.bit_count(c) for c in names), F.lit(0)).cast("int"))
+
+    def judge(unit, t, size, *fp):
+        i, j = forest(unit, np.stack(fp, axis=1).view(np.uint64), radius, size, least)
+        return t[i], t[j]
+
+    units = by_hash(spread.join(prints, "t"), F.lit(1), tile).repartition("unit").sortWithinPartitions("unit", "pc")
+    clusters = components(units.select("unit", "t", "size", *names).mapInArrow(unit_by_unit(judge), "a long, b long"))
 
     def sets(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), width).view(np.int64) for x in b.column(1)], pa.list_(pa.int64()))], ["t", "h"])
-
-    held = base.select("t", "text").join(paired, "t", "left_semi").groupBy("t").agg(F.any_value("text").alias("text")).mapInArrow(sets, "t long, h array<long>")
-    held = cut(held, "shingles")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(held.select(F.col("t").alias("a"), F.col("h").alias("x")), "a").join(held.select(F.col("t").alias("b"), F.col("h").alias("y")), "b")
-        both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
-        return both.where(F.col("common") >= least * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
-
-    def step(lo: int, hi: int):
-        def judge(unit, t, root, size, *fp):
-            a, b, more = nearest(unit, t, root, size, np.stack(fp, axis=1).view(np.uint64), lo, hi, least)
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            return (np.append(a, 0), np.append(b, 0)) if more else (a, b)
-
-        return unit_by_unit(judge)
-
-    linked, roots, lo, hi = [], None, 0, 1
-    while True:
-        now = units.withColumn("root", F.col("t"))
-        if roots is not None:
-            now = units.join(roots.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-            mixed = now.groupBy("unit").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("unit")
-            now = now.join(mixed, "unit")
-        now = now.repartition("unit").sortWithinPartitions("unit", "pc", "t").select("unit", "t", "root", "size", *names)
-        near = cut(now.mapInArrow(step(lo, hi), "a long, b long").distinct(), "near")
-        linked.append(cut(alike(near.where("a <> b")), "linked"))
-        roots = cut(components(reduce(DataFrame.union, linked)), "roots")
-        if near.where("a = b").isEmpty():
-            break
-        lo, hi = hi, 2 * hi + 1
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([shingles(x.as_py(), width).view(np.int64) for x in b.column(3)], pa.list_(pa.int64()))], ["t", "block", "size", "h"])
+
+    def exact(batches):
+        def links_in(rows: pa.Table, ends: list[int]):
+            t, h = rows.column(1).to_numpy(), rows.column(2).combine_chunks()
+            offsets, values, out = h.offsets.to_numpy(), h.values.to_numpy().view(np.uint64), ([], [])
+            for x, y in zip([0, *ends[:-1]], ends, strict=True):
+                i, j = exact_links([values[offsets[k] : offsets[k + 1]] for k in range(x, y)], least)
+                out[0].append(t[x:y][i])
+                out[1].append(t[x:y][j])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["a", "b"])
+
+        held = None  # one unfinished unit
+        for b in batches:
+            rows = pa.table(b.columns, names=["unit", "t", "h"])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            unit = rows.column(0).to_numpy()
+            ends = (np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist()
+            if ends:
+                yield links_in(rows, ends)
+            held = rows.slice(ends[-1] if ends else 0)
+        if held is not None and len(held):
+            yield links_in(held.combine_chunks(), [len(held)])
+
+    clusters = cut(clusters.select(F.col("node").alias("t"), F.col("root").alias("block")), "clusters")
+    texts = base.select("t", "text").join(clusters, "t").groupBy("t", "block").agg(F.any_value("text").alias("text"))
+    sized = texts.withColumn("size", F.length("text").cast("long")).select("t", "block", "size", "text").mapInArrow(sets, "t long, block long, size long, h array<long>")
+    sized = cut(sized.withColumn("size", F.size("h").cast("long")), "shingles")
+    units = by_hash(sized, "size", members).repartition("unit").sortWithinPartitions("unit").select("unit", "t", "h")
+    roots = components(units.mapInArrow(exact, "a long, b long"))
     return seen.select("id", "t").join(roots, F.col("t") == F.col("node"), "left").select("id", "t", F.coalesce("root", "t").alias("component"))
 
 

@@ -248,7 +248,7 @@ def steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
 
-def batches(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text", at_once: int = 8 << 20) -> DataFrame:
+def batches(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text", at_once: int = 6 << 20) -> DataFrame:
     """(batch, ids, body, trained, tokens): documents of about at_once bytes together. body: word hashes, the words'
     numbers in order, each document's number of words, and whether it trains; trained, tokens: number of
     training documents and their tokens."""
@@ -313,26 +313,40 @@ class Pairs:
         last, first = np.zeros(int(ends[-1]), bool), np.zeros(int(ends[-1]), bool)
         last[ends - 1] = True
         first[ends - 1 - sizes] = True
-        self.second = np.full(len(last), m - 1, np.int64)  # END, as a word's number
+        self.second = np.full(len(last), m - 1, np.int32)  # END, as a word's number
         self.second[~last] = tokens
-        b, a = rank[self.second], np.full(len(last), rank[m - 2], np.int64)
-        a[~first] = rank[tokens]
+        before = np.full(len(last), m - 2, np.int32)
+        before[~first] = tokens
+        a, b = rank[before], rank[self.second]
+        del before, first, last
         home, parts = (self.hashes >> U(40)) % U(shards), np.ones(m, U)
         if len(hot[0]):
             at = np.minimum(np.searchsorted(hot[0], self.hashes), len(hot[0]) - 1)
             parts = np.where(hot[0][at] == self.hashes, hot[1][at], parts)
-        s = ((home[a] + (self.hashes >> U(32))[b] % parts[a]) % U(shards)).astype(np.int64)
+        s = (self.hashes >> U(32))[b]
+        s %= parts[a]
+        s += home[a]
+        s %= U(shards)
+        s = s.view(np.int64)
         if shards * m * m < 1 << 62:
-            key, self.of = np.unique((s * m + a) * m + b, return_inverse=True)  # of: pair of each token
-            self.b, key = key % m, key // m
-            self.a, s = key % m, key // m
+            s *= m
+            s += a
+            s *= m
+            s += b
+            del a, b
+            order = np.argsort(s)
+            s = s[order]
+            new = np.append(True, s[1:] != s[:-1])
+            key = s[new]
+            self.b, key = (key % m).astype(np.int32), key // m
+            self.a, s = (key % m).astype(np.int32), key // m
         else:
             order = np.lexsort((b, a, s))
             s, a, b = s[order], a[order], b[order]
             new = np.append(True, (s[1:] != s[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-            self.of = np.empty(len(order), np.int64)
-            self.of[order] = np.cumsum(new) - 1
-            s, self.a, self.b = s[new], a[new], b[new]
+            s, self.a, self.b = s[new], a[new].astype(np.int32), b[new].astype(np.int32)
+        self.of = np.empty(len(order), np.int32)  # pair of each token
+        self.of[order] = np.cumsum(new, dtype=np.int32) - 1
         self.cuts = np.searchsorted(s, np.arange(shards + 1))
         self.parts = np.unique(s)
 
@@ -476,7 +490,7 @@ def finish(shards: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray], weights:
     return each
 
 
-def score(docs: DataFrame, by: int = 5, held: int = 1, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 2_500_000, at_once: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, by: int = 5, held: int = 1, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 2_500_000, at_once: int = 6 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()

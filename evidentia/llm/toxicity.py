@@ -3,7 +3,7 @@
 Texts are folded first: compatibility forms and combining marks, lower case, homoglyphs of Latin
 letters, digits and signs that stand for letters; all other signs become blanks. Lexicon entries are
 whole words (' word ') and word beginnings (' begin'), weighted by their smoothed log odds between
-toxic and clean labelled texts; a fixed seed list adds plain English insults. A match inside an
+toxic and clean labelled texts; nothing else enters the lexicon. A match inside an
 exception phrase doesn't count. The matched weight, plain and by length, goes through a logistic
 curve that is fitted on labelled rows that the lexicon wasn't learned from.
 
@@ -11,7 +11,7 @@ The labelled sample has at most `most` rows (default 8000), a documented bound;
 corpus is scored over its whole text.
 
 Defined cases: null and empty texts score as a text without matches. Without labels of both classes
-the seed list alone is used, with fixed curve weights. Null ids come back, and count as '' in the
+the lexicon is empty and every row scores alike, near the share of toxic labels. Null ids come back, and count as '' in the
 split. Repeated rows score alike. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import labelled, logistic, remainder
 
-SEED = ("idiot", "moron", "stupid", "pathetic", "disgusting", "worthless", "loser", "scum", "trash", "clown", "imbecile", "dumbass", "bastard", "bitch", "asshole", "retard")
-SEED_WEIGHT = 4.0
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "class clown", "clown fish", "pathetic fallacy", "pond scum", "sore loser")
 #: signs that stand for letters
 LEET = dict(zip("013457@$", "oieastas", strict=True))
@@ -58,7 +56,7 @@ def fold(text: str, table: Folds) -> str:
 
 def entries(folded: str) -> set[str]:
     """Lexicon entries that a text could give."""
-    words = {w for w in folded.split() if 2 < len(w) <= 40}
+    words = set(folded.split())
     return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in BEGINS if len(w) >= n}
 
 
@@ -79,6 +77,7 @@ def weigh(counts: list[tuple[str, int, int]], n1: int, n0: int, least: float = 1
 
 def automaton(weights: dict[str, float], exceptions=EXCEPTIONS):
     auto, table = ahocorasick.Automaton(), Folds()
+    auto.add_word("\0", (1, 0.0))  # in no folded text; an automaton without words can't be searched
     for entry, w in weights.items():
         auto.add_word(entry, (len(entry), w))
     for phrase in exceptions:
@@ -120,12 +119,12 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 8000, by: int = 5, hel
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in tally]), pa.array([k[1] for k in tally], pa.int32()), pa.array(list(tally.values()), pa.int64())], ["entry", "y", "n"])
 
     sizes = {r.y: r["count"] for r in sample.where("not fit").groupBy("y").count().collect()}
-    weights = {f" {fold(w, Folds()).strip()} ": SEED_WEIGHT for w in SEED}
+    bias = math.log((sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5)) if sizes else -3.0
     if len(sizes) < 2:
-        return weights, np.array([-3.0, 1.5, 1.0])
+        return {}, np.array([bias, 0.0, 0.0])
     counts = sample.select("text", "y", "fit").mapInArrow(count, "entry string, y int, n long").groupBy("entry").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
     counts = counts.where((F.col("a") >= 3) & (F.col("a") * sizes[0] > 5 * F.col("b") * sizes[1])).collect()  # of the bounded sample
-    weights |= weigh([tuple(r) for r in counts], sizes[1], sizes[0])
+    weights = weigh([tuple(r) for r in counts], sizes[1], sizes[0])
 
     def measure(batches):
         auto, table = automaton(weights, exceptions), Folds()
@@ -136,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 8000, by: int = 5, hel
     rows = sample.where("fit").select("text", "y").mapInArrow(measure, "total double, size long, y int").collect()  # a quarter of the sample
     x, y = np.array([shape(r.total, r["size"]) for r in rows]), np.array([float(r.y) for r in rows])
     if len(set(y)) < 2:
-        return weights, np.array([-3.0, 1.5, 1.0])
+        return weights, np.array([-3.0, 1.5, 1.0])  # too few to fit a curve
     return weights, logistic(x, y, 0.05)
 
 

@@ -109,8 +109,11 @@ def test_toxicity(spark, docs, empty):
     auto = toxicity.automaton({" idiot ": 2.0, " trash ": 2.0, " lowe": 1.0})
     assert toxicity.matched(toxicity.fold("idiot idiot, trash can; trash loweber", t), auto) == 7.0
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    got = toxicity.score(frame(spark, [(1, "you idiot moron scum", None), (2, "fine words here", None), (3, None, None), (None, "", None)]), labels).collect()
-    assert [r.predicted for r in sorted(got, key=lambda r: (r.doc_id is None, r.doc_id))] == [1, 0, 0, 0]
+    few = frame(spark, [(1, "you idiot moron scum", None), (2, "fine words here", None), (3, None, None), (None, "", None)])
+    got = toxicity.score(few, labels).collect()
+    assert [r.predicted for r in got] == [0] * 4 and len({r.score for r in got}) == 1  # nothing is known
+    one = toxicity.score(few, spark.createDataFrame([(i, 1, 1) for i in range(9)], labels.schema)).collect()
+    assert [r.predicted for r in one] == [1] * 4
     assert all(0 <= r.score <= 1 for r in got) and toxicity.score(empty, labels).count() == 0
 
 

@@ -45,19 +45,28 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFrame:
     return t.select("source", "source_size", F.when(first.isNull(), F.col("cap").cast("double")).otherwise(F.least(first * F.col("w"), F.col("cap").cast("double"))).alias("target"))
 
 
+def first_over(sums: DataFrame, place: str) -> DataFrame:
+    """sums (source, place, size, left), few places a source: (source, place, rest) of the first place where the running
+    sum passes left; rest is what is left before it."""
+    run = F.sum("size").over(W.partitionBy("source").orderBy(place))
+    over = sums.withColumn("run", run).where(F.col("run") > F.col("left")).groupBy("source").agg(F.min(F.struct("run", place, "size", "left")).alias("x"))
+    return over.select("source", F.col(f"x.{place}").alias(place), (F.col("x.left") - F.col("x.run") + F.col("x.size")).alias("rest"))
+
+
 def thresholds(rows: DataFrame, budgets: DataFrame, levels: int = 48 // BITS) -> DataFrame:
     """rows (source, h, size), budgets (source, left): the greatest h up to which the sizes sum to left at most.
 
-    One pass a level over the rows of the boundary buckets alone."""
+    One pass a level over the rows of the boundary buckets alone. A level's buckets are summed again by their upper half of
+    bits, and only the half where the budget ends is looked into, so a source's running sum is over 256 rows at most."""
     state = budgets.select("source", F.col("left"), F.lit(0).cast("long").alias("prefix"))
-    width = 48
+    width, half = 48, BITS // 2
     for _ in range(levels):
         width -= BITS
         inside = rows.join(state, rows.source.eqNullSafe(state.source)).where(F.shiftright(rows.h, width + BITS) == F.col("prefix")).select(state.source, F.shiftright(rows.h, width).alias("bucket"), "size", "left", "prefix")
-        sums = inside.groupBy("source", "bucket").agg(F.sum("size").alias("size"), F.first("left").alias("left"))
-        run = F.sum("size").over(W.partitionBy("source").orderBy("bucket"))  # 65536 buckets a source at most
-        over = sums.withColumn("run", run).where(F.col("run") > F.col("left")).groupBy("source").agg(F.min(F.struct("run", "bucket", "size", "left")).alias("x"))
-        over = over.select("source", F.col("x.bucket").alias("bucket"), (F.col("x.left") - F.col("x.run") + F.col("x.size")).alias("rest"))
+        sums = cut(inside.groupBy("source", "bucket").agg(F.sum("size").alias("size"), F.first("left").alias("left")).withColumn("part", F.shiftright("bucket", half)), "mix-sums")
+        parts = first_over(sums.groupBy("source", "part").agg(F.sum("size").alias("size"), F.first("left").alias("left")), "part")
+        fine = sums.drop("left").join(parts.select(F.col("source").alias("s"), F.col("part").alias("p"), F.col("rest").alias("left")), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select("source", "bucket", "size", "left")
+        over = first_over(fine, "bucket")
         # without a bucket over the budget, all rows that are left fit below the old prefix's end
         state = cut(
             state.join(over.withColumnRenamed("source", "s"), state.source.eqNullSafe(F.col("s")), "left").select(

@@ -31,7 +31,7 @@ from .common import components, cut
 
 SEED = 42
 PART = 1 << 16  # shingles whose bits are counted at once
-SALTS = 8  # parts of an id's rows in kept
+SALTS = 8  # parts that rows of one key are dealt to
 WIDE = 8  # words of a fingerprint in similar_classes
 
 
@@ -262,11 +262,14 @@ def radius_for(least: float, bits: int) -> int:
 
 def by_hash(rows: DataFrame, weight, tile: int, key: str = "t", block: str = "block") -> DataFrame:
     """rows with a column unit in place of `block`: the block, or each pair of tiles that a row takes part in where
-    the block weighs more than `tile`. Tiles are cut by the key's hash."""
-    heavy = rows.groupBy(block).agg(F.ceil(F.sum(weight) / tile).cast("int").alias("tiles")).where("tiles > 1")
+    the block weighs more than `tile`. Tiles are cut by the key's hash; rows of a heavy block meet its number of tiles
+    in several tasks."""
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4 * SALTS - 1).cast("long"))).alias("salt")
+    heavy = rows.groupBy(block).agg(F.ceil(F.sum(weight) / tile).cast("int").alias("tiles")).where("tiles > 1").select(block, "tiles", salts)
     own = f"pmod(xxhash64({key}, 7), tiles)"
     units = f"explode(case when tiles is null then array({block}) else transform(sequence(0, tiles - 1), k -> xxhash64({block}, least(k, {own}), greatest(k, {own}))) end) unit"
-    return rows.join(heavy, block, "left").selectExpr(units, *[c for c in rows.columns if c != block])
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(4 * SALTS)))
+    return salted.join(heavy, [block, "salt"], "left").selectExpr(units, *[c for c in rows.columns if c != block])
 
 
 def exact_links(sets: list[np.ndarray], least: float, at_once: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:

@@ -5,20 +5,22 @@ A payload of bytes is stored without loss as the blocks of grey baseline JPEG fr
 with quantiser 8, is the byte less 128). Any motion-JPEG player shows these frames. Frames leave out
 the Huffman tables, as AVI files do, and mean the usual ones.
 
-The decoder takes baseline frames of one to three components with any sampling factors; it decodes
+The decoder takes baseline frames of one to three components with any sampling factors, with or without restart
+markers; it decodes
 the frames of a batch in step, one Huffman symbol of each at a time, so that numpy works on thousands
 of frames at once. Shots: histograms of the frames' block greys, their successive differences, and a
 cut where a difference exceeds both `floor` and the mean plus `k` deviations of those around it.
 
 Defined cases: a null or empty text is one frame of blanks. Null ids and repeated rows come back, and
-equal texts give equal values. A file that isn't RIFF AVI, or a frame that isn't baseline JPEG, is an
-error, not skipped. An empty table gives an empty result. Other columns are not read. Long texts are
+equal texts give equal values. A file that isn't RIFF AVI or has no video stream, or a frame that isn't
+baseline JPEG, is an error, not skipped. An empty table gives an empty result. Other columns are not read. Long texts are
 coded and decoded a bounded number of frames at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 
@@ -38,7 +40,7 @@ DC_VALUES = tuple(range(12))
 AC_BITS = (0, 2, 1, 3, 3, 2, 4, 3, 5, 5, 4, 4, 0, 0, 1, 125)
 AC_FIRST = "01020300041105122131410613516107227114328191a1082342b1c11552d1f02433627282"
 AC_BITS_C = (0, 2, 1, 2, 4, 4, 3, 4, 7, 5, 4, 4, 0, 1, 2, 119)
-AC_FIRST_C = "0001020311040521310612415107617113223281081442 91a1b1c109233352f0156272d10a162434e125f1".replace(" ", "")
+AC_FIRST_C = "000102031104052131061241510761711322328108144291a1b1c109233352f0156272d10a162434e125f1"
 
 
 def ac_values(first: str) -> tuple[int, ...]:
@@ -98,6 +100,7 @@ def flat_lookup(dc: np.ndarray, ac: np.ndarray, ahead: int = 18) -> np.ndarray:
 
 HEAD = b"\xff\xd8" + segment(0xDB, bytes([0, 8, *[1] * 63])) + segment(0xC0, struct.pack(">BHHBBBB", 8, HIGH * 8, WIDE * 8, 1, 1, 0x11, 0)) + segment(0xDA, bytes([1, 1, 0, 0, 63, 0]))
 END = b"\xff\xd9"
+RESTART = re.compile(rb"\xff[\xd0-\xd7]")
 
 
 def diff_table() -> tuple[np.ndarray, np.ndarray]:
@@ -171,38 +174,60 @@ def write_avi(frames: list[bytes], wide: int = WIDE * 8, high: int = HIGH * 8, f
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
+def chunks_of(raw: bytes, at: int, end: int):
+    """(tag, start, size) of each chunk's body; a list's tag is that of its kind, and its body starts behind it."""
+    while at + 8 <= end:
+        tag, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
+        if tag in (b"LIST", b"RIFF"):
+            yield raw[at + 8 : at + 12], at + 12, min(size, end - at - 8) - 4
+        else:
+            yield tag, at + 8, size
+        at += 8 + size + (size & 1)
+
+
 def read_avi(raw: bytes) -> tuple[list[bytes], float]:
-    """Frames of the first video stream, by the index where there is one, and frames a second."""
+    """Frames of the first video stream, and frames a second. By the index where there is one and the file has one part;
+    else from all movi lists, those of further parts and their inner lists included."""
     if raw[:4] != b"RIFF" or raw[8:12] != b"AVI ":
         raise ValueError("not a RIFF AVI file")
-    movi, index, micros, at = None, None, 1_000_000 // FPS, 12
-    while at + 8 <= len(raw):
-        tag, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
-        if tag == b"LIST" and raw[at + 8 : at + 12] == b"movi":
-            movi = (at + 8, at + 8 + size)
-        elif tag == b"LIST" and raw[at + 8 : at + 12] == b"hdrl":
-            if (p := raw.find(b"avih", at, at + 8 + size)) >= 0:
-                micros = struct.unpack_from("<I", raw, p + 8)[0] or micros
-        elif tag == b"idx1":
-            index = np.frombuffer(raw, "<u4", size // 16 * 4, at + 8).reshape(-1, 4)
-        at += 8 + size + (size & 1)
-    if movi is None:
+    movis, index, micros, stream, streams = [], None, 1_000_000 // FPS, None, 0
+    parts = list(chunks_of(raw, 0, len(raw)))
+    for form, start, size in parts:
+        if form not in (b"AVI ", b"AVIX"):
+            continue
+        for tag, at, n in chunks_of(raw, start, start + size):
+            if tag == b"movi":
+                movis.append((at, n))
+            elif tag == b"idx1":
+                index = np.frombuffer(raw, "<u4", n // 16 * 4, at).reshape(-1, 4)
+            elif tag == b"hdrl":
+                for inner, p, m in chunks_of(raw, at, at + n):
+                    if inner == b"avih":
+                        micros = struct.unpack_from("<I", raw, p)[0] or micros
+                    elif inner == b"strl":
+                        for own, q, _ in chunks_of(raw, p, p + m):
+                            if own == b"strh" and raw[q : q + 4] == b"vids" and stream is None:
+                                stream = streams
+                        streams += 1
+    if not movis:
         raise ValueError("no movi list")
-    frames = []
-    if index is not None and len(index):
-        tags = {int.from_bytes(x, "little") for x in (b"00dc", b"00db")}
-        base = movi[0] if int(index[0, 2]) < movi[0] else 0  # offsets from the list, or from the file's start
-        for tag, _, offset, size in index.tolist():
-            if tag in tags:
-                p = base + offset + 8
-                frames.append(raw[p : p + size])
-    else:
-        at = movi[0] + 4
-        while at + 8 <= movi[1]:
-            tag, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
-            if tag in (b"00dc", b"00db"):
-                frames.append(raw[at + 8 : at + 8 + size])
-            at += 8 + size + (size & 1)
+    if stream is None:
+        raise ValueError("no video stream")
+    tags, frames = (b"%02ddc" % stream, b"%02ddb" % stream), []
+    if index is not None and len(index) and len(parts) == 1:
+        wanted, base = {int.from_bytes(x, "little") for x in tags}, movis[0][0] - 4
+        base = base if int(index[0, 2]) < base else 0  # offsets from the list, or from the file's start
+        return [raw[base + o + 8 : base + o + 8 + n] for tag, _, o, n in index.tolist() if tag in wanted], 1_000_000 / micros
+
+    def walk(at: int, end: int):
+        for tag, p, n in chunks_of(raw, at, end):
+            if tag == b"rec ":
+                walk(p, p + n)
+            elif tag in tags:
+                frames.append(raw[p : p + n])
+
+    for at, n in movis:
+        walk(at, at + n)
     return frames, 1_000_000 / micros
 
 
@@ -229,8 +254,10 @@ def parse_jpeg(frame: bytes) -> tuple[dict, int]:
         elif marker == 0xC0:
             _, high, wide, n = struct.unpack_from(">BHHB", body)
             got |= {"high": high, "wide": wide, "parts": {body[6 + 3 * i]: (body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)}}
-        elif marker in (0xC1, 0xC2, 0xC3, *range(0xC5, 0xC8), *range(0xC9, 0xD0)) and marker != 0xCC or marker == 0xDD and any(body):
-            raise ValueError(f"JPEG segment {marker:02x} isn't baseline without restarts")
+        elif marker == 0xDD:
+            got["restart"] = struct.unpack(">H", body[:2])[0]
+        elif marker in (0xC1, 0xC2, 0xC3, *range(0xC5, 0xC8), *range(0xC9, 0xD0)) and marker != 0xCC:
+            raise ValueError(f"JPEG segment {marker:02x} isn't baseline")
         elif marker == 0xDA:
             n = body[0]
             got["scan"] = [(body[1 + 2 * i], body[2 + 2 * i] >> 4, body[2 + 2 * i] & 15) for i in range(n)]
@@ -271,11 +298,28 @@ class Decoder:
             groups.setdefault(self.prepared(f)[0], []).append(i)
         out: list = [None] * len(frames)
         for head, rows in groups.items():
-            got = self.together(self.heads[head], [frames[i][len(head) :] for i in rows])
+            got = self.scans(self.heads[head], [frames[i][len(head) :] for i in rows])
             for k, i in enumerate(rows):
                 out[i] = got[k]
         return out
 
+    def scans(self, p: dict, scans: list[bytes]) -> list[np.ndarray]:
+        """Coefficients of each scan. Restart markers cut a scan into runs, which are decoded like scans of their own."""
+        if not p.get("restart"):
+            return list(self.together(p, scans))
+        mcus, run = p["mcus"][0] * p["mcus"][1], p["restart"]
+        n, cut = -(-mcus // run), [RESTART.split(s) for s in scans]
+        if any(len(c) != n for c in cut):
+            raise ValueError("a restart marker is missing")
+        whole = list(self.together(p | {"mcus": (1, run)}, [x for c in cut for x in c[: n - 1]])) if n > 1 else []
+        last = list(self.together(p | {"mcus": (1, mcus - (n - 1) * run)}, [c[-1] for c in cut]))
+        out = []
+        for i in range(len(scans)):
+            parts = [*whole[i * (n - 1) : (i + 1) * (n - 1)], last[i]]
+            wide = max(x.shape[1] for x in parts)
+            out.append(np.concatenate([np.pad(x, ((0, 0), (0, wide - x.shape[1]))) for x in parts]))
+        return out
+
     def flat(self, p: dict, raw: np.ndarray, sizes: np.ndarray, total: int) -> np.ndarray | None:
         """DC values of frames whose blocks are all flat, else None: one look ahead a block."""
         per, w = len(p["order"]), raw.astype(np.uint32)
@@ -433,6 +477,11 @@ def shots(hist: np.ndarray, k: float = 2.5, reach: int = 12, floor: float = 0.12
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
+def timed(hist: np.ndarray, fps: float) -> list[tuple[int, float, float, int]]:
+    """(number, start and end in seconds, frames) of each shot."""
+    return [(i, a / fps, z / fps, z - a) for i, (a, z) in enumerate(shots(hist))]
+
+
 def store(payload: bytes) -> bytes:
     """AVI file of a payload whose length is a multiple of UNIT."""
     flat, frames = np.frombuffer(payload, np.uint8), []
@@ -493,7 +542,7 @@ def clips(files: DataFrame, id_col: str = "id", media_col: str = "media") -> Dat
                     continue
                 frames, fps = read_avi(media)
                 hist = np.concatenate([histograms(g.reshape(1, -1)) for at in range(0, len(frames), AT_ONCE) for g in decoder.greys(frames[at : at + AT_ONCE])]) if frames else np.zeros((0, 16))
-                rows += [(row, i, a / fps, z / fps, z - a) for i, (a, z) in enumerate(shots(hist))]
+                rows += [(row, *x) for x in timed(hist, fps)]
             if rows:
                 c = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(list(c[0]), b.schema.field(0).type), pa.array(c[1], pa.int32()), pa.array(c[2], pa.float64()), pa.array(c[3], pa.float64()), pa.array(c[4], pa.int32())], ["id", "clip", "start_s", "end_s", "frames"])
@@ -505,7 +554,8 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Stores each text as an AVI file, reads the file's bytes back and describes them; texts go together
     until they hold at_once bytes."""
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    names = [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips"]
+    clip = pa.list_(pa.struct([("clip", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("frames", pa.int32())]))
 
     def each(batches):
         decoder = Decoder()
@@ -522,9 +572,9 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = []
             for m, n, greys in zip(media, sizes, load(media, decoder), strict=True):
                 back = greys.tobytes()
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(m), hashlib.sha256(m).hexdigest(), describe(greys)))
+                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(m), hashlib.sha256(m).hexdigest(), describe(greys), [dict(zip(("clip", "start_s", "end_s", "frames"), x, strict=True)) for x in timed(histograms(greys), FPS)]))
             c = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), clip]
             return pa.RecordBatch.from_arrays([pa.array(ids, field.type), *(pa.array(x, t) for x, t in zip(c, kinds, strict=True))], names)
 
         for b in batches:
@@ -541,5 +591,5 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if ids:
                 yield out(ids, sizes, payloads, b.schema.field(0))
 
-    schema = f"{id_col} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = f"{id_col} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips array<struct<clip:int,start_s:double,end_s:double,frames:int>>"
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(each, schema)

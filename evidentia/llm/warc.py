@@ -7,7 +7,9 @@ central directory with ZIP64 extra fields, locates the members' data behind thei
 and range-reads the index and then each record.
 
 Of records with equal payloads of `least` bytes or more, that with the largest id is a response and
-the others are revisits that refer to it. Archives are files in the shared folder, under names that
+the others are revisits that refer to it. Digests that come more than once are found without payloads; a bitmap
+of them, of a fixed largest size, tells which payloads may be such, and only these are shuffled, a digest's rows to
+several tasks. All others are written where they are read. Archives are files in the shared folder, under names that
 no two task attempts share; only files listed by finished tasks are read, so a lost executor or a
 repeated task leaves nothing wrong behind. A task streams records and holds one at a time.
 
@@ -22,10 +24,12 @@ from __future__ import annotations
 import gzip
 import hashlib
 import struct
+import urllib.parse
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +73,10 @@ class ZipRanges:
     def __init__(self, read: Callable[[int, int], bytes], size: int):
         self.read, tail = read, min(size, 65557)
         end = read(size - tail, tail)
-        if (at := end.rfind(EOCD)) < 0:
+        at = end.rfind(EOCD)
+        while at >= 0 and at + 22 + int.from_bytes(end[at + 20 : at + 22], "little") != len(end):
+            at = end.rfind(EOCD, 0, at)  # the signature stands in the comment
+        if at < 0:
             raise ValueError("no end of central directory")
         n, length, start = struct.unpack_from("<HII", end, at + 10)
         if at >= 20 and end[at - 20 : at - 16] == LOCATOR:
@@ -127,49 +134,118 @@ def open_zip(uri: str) -> tuple[ZipRanges, object]:
     return ZipRanges(read, size), f
 
 
-def plan(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """pages (page_id, url, html) with sha1, length and rep, the id of the response to refer to."""
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html")).withColumns({"sha1": F.sha1(F.col("html").cast("binary")), "length": F.octet_length("html").cast("long")})
-    same = rows.where(F.col("length") >= least).groupBy(F.col("sha1").alias("s")).agg(F.max("page_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s", "rep")
-    return rows.join(same, rows.sha1 == same.s, "left").drop("s")
+SALTS, MOST_BITS = 16, 26
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 1000, roll: int = 4 << 20) -> DataFrame:
-    """Writes ZIP-packed WARC archives of about `roll` bytes under folder; returns (uri, n) of each."""
+def repeated(pages: DataFrame, least: int = 1000) -> DataFrame:
+    """(s, rep): digests of `least` bytes or more that come more than once, and the id that is referred to."""
+    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select("page_id", F.sha1(html).alias("s"), F.octet_length(html).alias("length")).where(F.col("length") >= least)
+    return rows.groupBy("s").agg(F.max("page_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s", "rep")
 
-    def each(batches):
-        z = None
 
-        def close():
-            member.close()
-            with zipped.open(zipfile.ZipInfo(INDEX), "w", force_zip64=True) as f:
-                f.writelines(f"{page} {at} {size}\n".encode() for page, at, size in index)
-            zipped.close()
-            z.close()
-            return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([len(index)], pa.int64())], ["uri", "n"])
+def bitmap(same: DataFrame) -> np.ndarray:
+    """Bits of the digests' first 32 bits: a power of two, 16 for each digest, 2 ** MOST_BITS at most."""
+    bits = min(MOST_BITS, max(16, (16 * same.count()).bit_length()))
+    slot, words = F.conv(F.substring("s", 1, 8), 16, 10).cast("long").bitwiseAND((1 << bits) - 1), np.zeros(1 << bits - 6, np.uint64)
+    rows = same.select(slot.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("bits"))
+    for r in rows.collect():  # 2 ** (MOST_BITS - 6) at most
+        words[r.w] = np.uint64(r.bits & ((1 << 64) - 1))
+    return words
+
+
+def name_of(page) -> str:
+    return "null" if page is None else "id-" + urllib.parse.quote(str(page), safe="")
+
+
+class Packer:
+    """Puts records into archives of about `roll` bytes under a folder."""
+
+    def __init__(self, folder: str, roll: int):
+        self.folder, self.roll, self.file = folder, roll, None
+
+    def add(self, page, url: str | None, payload: bytes, sha1: str, rep) -> pa.RecordBatch | None:
+        """The archive that is full, if one is."""
+        old = rep is not None and page != rep
+        raw = gzip.compress(record("revisit" if old else "response", name_of(page), None if old else payload, len(payload), sha1, url, name_of(rep) if old else None), 3, mtime=0)
+        if self.file is None:
+            self.uri, self.offset, self.index = f"{self.folder}/{uuid.uuid4().hex}.zip", 0, []
+            self.file = open_path(self.uri, "wb")
+            self.zipped = zipfile.ZipFile(self.file, "w", zipfile.ZIP_STORED)
+            self.member = self.zipped.open(zipfile.ZipInfo(MEMBER), "w", force_zip64=True)
+        self.member.write(raw)
+        self.index.append((name_of(page), self.offset, len(raw)))
+        self.offset += len(raw)
+        return self.close() if self.offset >= self.roll else None
 
+    def close(self) -> pa.RecordBatch | None:
+        if self.file is None:
+            return None
+        self.member.close()
+        with self.zipped.open(zipfile.ZipInfo(INDEX), "w", force_zip64=True) as f:
+            f.writelines(f"{page} {at} {size}\n".encode() for page, at, size in self.index)
+        self.zipped.close()
+        self.file.close()
+        self.file = None
+        return pa.RecordBatch.from_arrays([pa.array([self.uri]), pa.array([len(self.index)], pa.int64())], ["uri", "n"])
+
+
+def write_archives(pages: DataFrame, folder: str, least: int = 1000, roll: int = 4 << 20) -> DataFrame:
+    """Writes ZIP-packed WARC archives of about `roll` bytes under folder; returns (uri, n) of each."""
+    same = cut(repeated(pages, least), "warc-same")
+    known = pages.sparkSession.sparkContext.broadcast(bitmap(same))
+    kind = pages.schema["page_id"].dataType.simpleString()
+
+    def read(batch):
+        """(page, url, payload, sha1, whether it may come more than once)"""
+        words = known.value
+        for page, url, html in zip(*batch.columns, strict=True):
+            payload = (html.as_py() or "").encode()
+            sha1 = hashlib.sha1(payload).hexdigest()
+            slot = int(sha1[:8], 16) & (len(words) * 64 - 1)
+            yield page.as_py(), url.as_py(), payload, sha1, len(payload) >= least and bool(words[slot >> 6] >> np.uint64(slot & 63) & np.uint64(1))
+
+    def alone(batches):
+        out = Packer(folder, roll)
         for b in batches:
-            for page, url, html, sha1, length, rep in zip(*(c for c in b.columns), strict=True):
-                page, rep = page.as_py(), rep.as_py()
-                old = rep is not None and page != rep
-                name = "null" if page is None else str(page)
-                raw = record("revisit" if old else "response", name, None if old else html.as_py().encode(), length.as_py(), sha1.as_py(), url.as_py(), str(rep) if old else None)
-                if z is None:
-                    uri, offset, index = f"{folder}/{uuid.uuid4().hex}.zip", 0, []
-                    z = open_path(uri, "wb")
-                    zipped = zipfile.ZipFile(z, "w", zipfile.ZIP_STORED)
-                    member = zipped.open(zipfile.ZipInfo(MEMBER), "w", force_zip64=True)
-                raw = gzip.compress(raw, 3, mtime=0)
-                member.write(raw)
-                index.append((name, offset, len(raw)))
-                offset += len(raw)
-                if offset >= roll:
-                    yield close()
-                    z = None
-        if z is not None:
-            yield close()
-
-    return plan(pages, least).select("page_id", "url", "html", "sha1", "length", "rep").mapInArrow(each, "uri string, n long")
+            for page, url, payload, sha1, many in read(b):
+                if not many and (full := out.add(page, url, payload, sha1, None)):
+                    yield full
+        if (last := out.close()) is not None:
+            yield last
+
+    def shared(batches):
+        for b in batches:
+            rows, held = [], 0
+
+            def some():
+                c = list(zip(*rows, strict=True))
+                return pa.RecordBatch.from_arrays([pa.array(c[0], b.schema.field(0).type), *(pa.array(x, t) for x, t in zip(c[1:], (pa.string(), pa.binary(), pa.string()), strict=True))], ["page_id", "url", "payload", "s"])
+
+            for *row, many in read(b):
+                if many:
+                    rows.append(row)
+                    held += len(row[2])
+                    if held > 4 << 20:
+                        yield some()
+                        rows, held = [], 0
+            if rows:
+                yield some()
+
+    def referring(batches):
+        out = Packer(folder, roll)
+        for b in batches:
+            for row in zip(*b.columns, strict=True):
+                if full := out.add(*(x.as_py() for x in row)):
+                    yield full
+        if (last := out.close()) is not None:
+            yield last
+
+    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
+    often = rows.mapInArrow(shared, f"page_id {kind}, url string, payload binary, s string").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("long"))
+    salted = same.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    often = often.join(salted, ["s", "salt"], "left").select("page_id", "url", "payload", "s", "rep")
+    return rows.mapInArrow(alone, "uri string, n long").union(often.mapInArrow(referring, "uri string, n long"))
 
 
 def read_archives(archives: DataFrame, id_type: str = "long") -> DataFrame:
@@ -187,7 +263,7 @@ def read_archives(archives: DataFrame, id_type: str = "long") -> DataFrame:
 
         def ident(x):
             x = x.removeprefix(f"<{PAGE}").removesuffix(">")
-            return None if x == "null" else to(x)
+            return None if x == "null" else to(urllib.parse.unquote(x.removeprefix("id-")))
 
         for b in batches:
             for uri in b.column(0).to_pylist():

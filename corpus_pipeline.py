@@ -1,5 +1,11 @@
 """A corpus pipeline of five stages. Each takes (spark, docs, sf_dir) and works on all that its predecessor
-kept; all but the last return the columns of documents."""
+kept; all but the last return the columns of documents.
+
+Defined cases: null and empty texts are judged by the quality network as one chunk of blanks, are copies of each other for
+near-dedup, hold no benchmark item and no secret, and have size 0. Null ids go through every stage; of a class of copies the
+row with the smallest id stays, null last. Repeated rows are copies: one stays. A null source is a source of its own in the
+mix. Columns that documents don't have, under any name, stay until the last stage. Empty documents give an empty result; an
+empty benchmark drops nothing; without labels of both classes the quality stage keeps everything."""
 
 from __future__ import annotations
 
@@ -36,7 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [("quality", quality_stage), ("simhash", simhash_stage), ("decontamination", decontamination_stage), ("secrets", secrets_stage), ("mixing", mixing_stage)]
 
-#: The network of the first stage has no SQL form. Each stage is tested on its own; run() has no brute-force test yet.
+#: The network of the first stage has no SQL form; tests compare run() with plain loops over the same stages.
 ORACLE_SQL = None
 
 

@@ -15,7 +15,11 @@ from dataclasses import asdict, dataclass, field, replace
 from datetime import UTC, datetime
 from typing import Protocol
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ..functions.scalars import uuid7
+from ..operators.projection import best_known
 from ..sources import archive
 from ..sources.control import ControlStore
 
@@ -261,6 +265,7 @@ class Ports:
     now: Callable[[], int]
     seed: Callable[[], bytes]  # random bytes for ids
     fault: Callable[[str], None] = lambda point: None
+    source_kind: str = "http_backfill"  # http_reconciliation: pages are observed again, and always added
     api_version: str = "10"
     capabilities: dict = field(default_factory=lambda: {"message_content": True})
 
@@ -288,7 +293,7 @@ def envelope_of(run: Run, r: Response, observation: str, ports: Ports) -> dict:
     """The observation of a page; raw keeps the payload's bytes as they came."""
     raw = r.body.decode("utf-8").removeprefix("\ufeff").strip()
     return {
-        "envelope_version": "v1", "observation_id": observation, "source_kind": "http_backfill", "observed_at": wire(r.done_ms), "payload": json.loads(raw), "raw": raw,
+        "envelope_version": "v1", "observation_id": observation, "source_kind": ports.source_kind, "observed_at": wire(r.done_ms), "payload": json.loads(raw), "raw": raw,
         "provenance": {
             "run_id": run.run_id, "discord_api_version": ports.api_version, "guild_id": run.guild_id, "channel_id": run.channel_id, "operation": "get_channel_messages", "endpoint": f"/channels/{run.channel_id}/messages",
             "pagination": {"before": run.request_before(), "after": None}, "limit": run.page_limit, "request_started_at": wire(r.started_ms), "response_completed_at": wire(r.done_ms), "http_status": r.status,
@@ -393,6 +398,11 @@ def apply(run: Run, o: Outcome, now: int) -> Run:
     return ended(o.error)
 
 
+def current_runs(runs: DataFrame, active: Sequence[str] = ACTIVE) -> DataFrame:
+    """Each channel's run of a table of runs: the active one, else the last one made."""
+    return best_known(runs.withColumn("is_active", F.col("state").isin(*active)), "channel_id", ("is_active", "created_at", "run_id")).drop("is_active")
+
+
 class Channel:
     """The runs of one channel, at most one of them active, with their wake-up time and route buckets: one object in the
     control store, replaced at each step. Opening a channel sets the wake-up of an active run that lost it."""

@@ -12,12 +12,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import scalars as S
+from .operators import community, erasure
 from .operators import equivalence as E
-from .operators import erasure
 from .operators import projection as P
 from .schemas import ENVELOPE
+from .plans.crawl import current_runs
+from .sources.archive import key_column
 from .sources.catalog import live_files
-from .streaming.incremental import replay
+from .streaming.incremental import dispatches, replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,14 +82,15 @@ def envelopes(spark, sf):
     ident = F.format_string("%08x-0000-7000-8000-%012x", F.col("conv_id"), F.col("conv_id"))
     message = F.struct(
         (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"), F.col("conv_id").cast("string").alias("channel_id"), F.struct(F.when(F.col("role") == "user", SUBJECT).otherwise("2").alias("id"), F.col("role").alias("username"), F.lit(False).alias("bot")).alias("author"),
-        F.col("text").alias("content"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"), F.lit(False).alias("pinned"), F.lit(0).alias("type"), F.col("turn").alias("unknown_member"),
+        F.col("text").alias("content"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"), F.lit(False).alias("pinned"), F.lit(0).alias("type"), F.col("turn").alias("unknown_member"), F.array(F.struct(F.concat(F.lit("f"), "turn").alias("id"))).alias("attachments"),
     )
     page = table(spark, sf, "conversations").groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))), lambda x: x.m)).alias("payload"))  # a page's size
     rest = F.from_json(F.lit('{"guild_id": "1", "operation": "get_channel_messages"}'), ENVELOPE["provenance"].dataType)
-    return page.select("conv_id", F.lit("v1").alias("envelope_version"), ident.alias("observation_id"), F.lit("http_backfill").alias("source_kind"), F.lit("2024-02-01T00:00:00.000Z").alias("observed_at"), "payload", rest.alias("provenance"))
+    return page.select("conv_id", F.lit("v1").alias("envelope_version"), ident.alias("observation_id"), F.lit("http_backfill").alias("source_kind"), S.utc_text(F.timestamp_seconds(F.col("conv_id") + SEEN)).alias("observed_at"), "payload", rest.withField("channel_id", F.col("conv_id").cast("string")).alias("provenance"))
 
 
 SUBJECT = "4711000000000000001"
+SEEN = 1_706_745_600  # when the first page was seen
 
 
 @query("select cast(conv_id * 1000 + turn as varchar) as message_id, cast(conv_id as varchar) as channel_id, row_number() over (partition by conv_id order by turn) - 1 as pos, role as author_username, text as content from conversations")
@@ -322,3 +325,129 @@ def budget_replay(spark, sf):
     """A fold: refused requests take no slot. The last two grants are its state."""
     e = table(spark, sf, "events").select("user_id", F.col("event_id").alias("id"), ms().alias("ms"))
     return replay(e, "user_id", 2, 86_400_000)
+
+
+@query("select event_id, printf('observations/v1/source=%s/%s/%s.json.gz', event_type, strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H'), 'a' || event_id) as key from events")
+def archive_key(spark, sf):
+    ident = F.concat(F.lit("A"), F.col("event_id").cast("string"))
+    return table(spark, sf, "events").select("event_id", key_column(F.col("event_type"), F.col("ts").cast("timestamp"), ident).alias("key"))
+
+
+@query("""select event_id, case event_id % 8 when 0 then 'envelope_version' when 1 then 'observation_id' when 2 then 'observation_id' when 3 then 'source_kind' when 4 then 'observed_at' when 5 then 'payload' when 6 then 'provenance' end as error from events""")
+def envelope_errors(spark, sf):
+    k, none = F.col("event_id") % 8, F.lit(None).cast("string")
+    good = F.lit("0199A1b2-0000-7000-8000-000000000001")
+    p = F.from_json(F.when(k != 6, F.lit("{}")), ENVELOPE["provenance"].dataType)
+    rows = table(spark, sf, "events").select(
+        "event_id", F.when(k == 0, "v2").otherwise("v1").alias("envelope_version"), F.when(k == 1, F.lit("0199a1b2-0000-4000-8000-000000000001")).when(k == 2, none).otherwise(good).alias("observation_id"), F.when(k == 3, "mail").otherwise("http_reconciliation").alias("source_kind"),
+        F.when(k == 4, none).otherwise("2024-01-01T00:00:00Z").alias("observed_at"), F.when(k == 5, " ").otherwise("[]").alias("payload"), p.alias("provenance"),
+    )
+    return rows.select("event_id", P.envelope_error(strict=False).alias("error"))
+
+
+@query("select event_id, case when event_id % 4 = 0 then event_id::varchar end as id, event_id % 3 = 0 as uuid7 from events")
+def parse_ids(spark, sf):
+    n, e = F.col("event_id"), F.col("event_id").cast("string")
+    text = F.when(n % 4 == 0, e).when(n % 4 == 1, F.concat(F.lit("+"), e)).when(n % 4 == 2, F.lit("18446744073709551616")).otherwise(F.concat(e, F.lit("e1")))
+    ident = F.format_string("%08x-0000-%s000-8000-000000000001", n, F.when(n % 3 == 0, "7").otherwise("4"))
+    return table(spark, sf, "events").select("event_id", S.id_number(text).cast("string").alias("id"), S.is_uuid7(ident).alias("uuid7"))
+
+
+@query("select event_id, case when event_id % 3 < 2 then strftime(ts - interval (case when event_id % 3 = 1 then 2 else 0 end) hour, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' end as seen from events")
+def instants(spark, sf):
+    t, k = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("event_id") % 3
+    text = F.concat(t, F.when(k == 0, "Z").when(k == 1, "+02:00").otherwise(""))  # the last has no zone
+    return table(spark, sf, "events").select("event_id", S.utc_text(S.instant(text)).alias("seen"))
+
+
+@query("select event_id, case event_id % 6 when 0 then 0.0 when 1 then event_id::double when 2 then event_id / 8.0 end as n, event_id % 2 = 0 as flag, case event_id % 4 when 0 then 'user' when 1 then 'global' when 2 then 'shared' end as scope from events")
+def header_parse(spark, sf):
+    k, e = F.col("event_id") % 6, F.col("event_id")
+    text = F.when(k == 0, " ").when(k == 1, F.concat(F.lit(" "), e.cast("string"))).when(k == 2, (e / 8.0).cast("decimal(18,3)").cast("string")).when(k == 3, "NaN").when(k == 4, "Infinity").otherwise("soon")
+    scope = F.element_at(F.array(*map(F.lit, ("user", "global", "shared", "other"))), (e % 4 + 1).cast("int"))
+    return table(spark, sf, "events").select("event_id", S.header_number(text).alias("n"), S.header_flag(F.when(e % 2 == 0, "true").otherwise("True")).alias("flag"), S.header_scope(scope).alias("scope"))
+
+
+@query("select o_custkey as channel_id, o_orderkey as run_id, o_orderstatus as state from (select *, row_number() over (partition by o_custkey order by o_orderstatus = 'O' desc, o_orderdate desc, o_orderkey desc) as n from orders) where n = 1")
+def latest_run(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("channel_id"), F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderstatus").alias("state"))
+    return current_runs(o, active=("O",)).select("channel_id", "run_id", "state")
+
+
+@query("select user_id || '/' || event_type as route_key, max(event_id) as observed_at, arg_max(value, event_id) as remaining from events group by route_key")
+def route_buckets(spark, sf):
+    e = table(spark, sf, "events").select(F.concat_ws("/", "user_id", "event_type").alias("route_key"), F.col("event_id").alias("observed_at"), F.col("value").alias("remaining"))
+    return community.latest_buckets(e)
+
+
+@query("select distinct conv_id from conversations where conv_id % 3 = 0")
+def admission(spark, sf):
+    e = envelopes(spark, sf)
+    return community.admit(e, e.where("conv_id % 3 = 0").select(F.col("conv_id").cast("string").alias("channel_id"))).select("conv_id")
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, unnest(['channel', 'attachment']) as kind, unnest([cast(conv_id as varchar), 'f' || turn]) as other_id from conversations")
+def entity_relations(spark, sf):
+    return community.relations(envelopes(spark, sf))
+
+
+def pads(key: bytes) -> tuple[str, str]:
+    return tuple(bytes(x ^ pad for x in key.ljust(64, b"\0")).hex() for pad in (0x36, 0x5C))
+
+
+@query(f"select doc_id, sha256(unhex('{pads(b'key')[1]}') || unhex(sha256(unhex('{pads(b'key')[0]}') || encode(doc_id::varchar)))) as token from documents")
+def subject_tokens(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", S.subject_tokens(b"key", F.col("doc_id")).alias("token"))
+
+
+IN_RANGE = "select cast(conv_id * 1000 + turn as varchar) as message_id, text as content from conversations where {}"
+
+
+@query(IN_RANGE.format("conv_id >= 20 and conv_id < 60"))
+def time_range_replay(spark, sf):
+    at = [F.timestamp_seconds(F.lit(SEEN + k)) for k in (20, 60)]
+    return P.project(P.between(envelopes(spark, sf).drop("conv_id"), *at)).select("message_id", "content")
+
+
+@query(IN_RANGE.format("conv_id <= 50"))
+def state_as_of(spark, sf):
+    return P.as_of(envelopes(spark, sf).drop("conv_id"), F.timestamp_seconds(F.lit(SEEN + 50))).select("message_id", "content")
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, printf('%08x-0000-7000-8000-%012x', conv_id, conv_id) as observation_id, text as content, cast(conv_id * 1000 + turn as varchar) || ' ' || conv_id as raw from conversations")
+def lineage_of_messages(spark, sf):
+    e = envelopes(spark, sf).drop("conv_id")
+    back = P.lineage(P.project(e).select("message_id", "observation_id", "content"), P.raw_pages(e))
+    first = F.get_json_object("payload", "$[0].channel_id")  # of the raw page
+    return back.select("message_id", "observation_id", "content", F.concat_ws(" ", "message_id", first).alias("raw"))
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, printf('%08x-0000-7000-8000-%012x', conv_id, conv_id) as observation_id from conversations")
+def message_history(spark, sf):
+    e = envelopes(spark, sf).drop("conv_id")
+    return P.history(P.union(e, e)).select("message_id", "observation_id")
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, cast(conv_id as varchar) as channel_id, '1' as guild_id, text as content, '2024-01-01T00:00:00Z' as created_at, '' as edited_at, 'false' as pinned, strftime(to_timestamp(1706745600 + conv_id) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') as observed_at, 'http-message-v1' as projection_version from conversations")
+def equivalence_rows(spark, sf):
+    return E.rows(P.project(envelopes(spark, sf).drop("conv_id"))).drop("author_id", "observation_id")
+
+
+@query("select true as same, false as other")
+def identity_match(spark, sf):
+    c = P.project(envelopes(spark, sf).drop("conv_id"))
+    return spark.createDataFrame([(E.same_identities(c, P.project(P.union(*[envelopes(spark, sf).drop("conv_id")] * 2))), E.same_identities(c, c.where("message_id > '1'")))], "same boolean, other boolean")
+
+
+@query("select cast(conv_id * 1000 + turn as varchar) as message_id, text as content from conversations order by message_id limit 500")
+def ordered_limit(spark, sf):
+    return P.ordered(P.project(envelopes(spark, sf).drop("conv_id"))).select("message_id", "content").limit(500)
+
+
+@query("select event_id as sequence, event_type as event, '{\"op\":0,\"t\":\"' || event_type || '\",\"s\":' || event_id || ',\"d\":{}}' as payload from events where event_id % 3 = 0")
+def gateway_dispatches(spark, sf):
+    op = (F.col("event_id") % 3).cast("string")  # 0: a dispatch
+    name = F.when(F.col("event_id") % 3 == 1, F.lit("TYPING_START")).otherwise(F.col("event_type"))
+    frame = F.concat(F.lit('{"op":'), F.when(op == "1", "0").otherwise(op), F.lit(',"t":"'), name, F.lit('","s":'), F.col("event_id").cast("string"), F.lit(',"d":{}}'))
+    rows = table(spark, sf, "events").select(F.lit("0199a1b2-0000-7000-8000-000000000001").alias("observation_id"), F.lit("2024-01-01T00:00:00Z").alias("observed_at"), frame.alias("frame"), F.lit("i").alias("instance_id"), F.lit("s").alias("session_id"), F.lit(0).alias("shard"), F.lit(1).alias("intents"))
+    return dispatches(rows).select("gateway.sequence", "gateway.event", "payload")

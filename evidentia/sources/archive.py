@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Sequence
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EPOCH_MS, INSTANT, UUID7, uuid7
@@ -38,6 +38,12 @@ def key_of(env: dict) -> str:
     return f"{PREFIX}/source={env['source_kind']}/year={t:%Y}/month={t:%m}/day={t:%d}/hour={t:%H}/{env['observation_id'].lower()}.json.gz"
 
 
+def key_column(kind: Column, observed_at: Column, observation_id: Column) -> Column:
+    """The same of columns; observed_at is a timestamp."""
+    t = F.to_utc_timestamp(observed_at, F.current_timezone())
+    return F.concat(F.lit(f"{PREFIX}/source="), kind, F.date_format(t, "'/year='yyyy'/month='MM'/day='dd'/hour='HH/"), F.lower(observation_id), F.lit(".json.gz"))
+
+
 def payload_text(env: dict) -> str:
     """The payload as it was received where the envelope keeps that (raw), else as it is written."""
     return env["raw"] if "raw" in env else json.dumps(env["payload"], ensure_ascii=False, separators=(",", ":"))

@@ -51,8 +51,8 @@ class World:
             self.crash = None
             raise crawl.Crash(point)
 
-    def channel(self, most=5):
-        return crawl.Channel(self.control, "2", crawl.Ports(self, self, lambda env: archive.put(self.store, env), lambda: self.time, self.seed, self.fault), most)
+    def channel(self, most=5, kind="http_backfill"):
+        return crawl.Channel(self.control, "2", crawl.Ports(self, self, lambda env: archive.put(self.store, env), lambda: self.time, self.seed, self.fault, kind), most)
 
     def start(self):
         return self.channel().start(crawl.validate_start({"guild_id": "1", "channel_id": "2", "page_limit": 3}))
@@ -80,6 +80,16 @@ def test_completes(world):
     assert w.channel().wake_at() is None and w.channel().tick() is None and w.budget.snapshot(w.time)["requests_in_window"] == 3
 
 
+def test_reconciliation_observes_again(world):
+    w = world()
+    w.channel().tick()
+    n = len(w.store.list())
+    w.time += 60_000
+    assert w.start()[0] and w.channel(kind="http_reconciliation").tick().state == "completed"
+    kinds = [archive.get(w.store, k)["source_kind"] for k, _ in w.store.list()]
+    assert kinds.count("http_reconciliation") == kinds.count("http_backfill") == n
+
+
 def test_one_active_run_and_pages_a_tick(world):
     w = world()
     fresh, active = w.channel().start({"guild_id": "1", "channel_id": "2", "page_limit": 3, "before": None, "after": None})

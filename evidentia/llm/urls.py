@@ -6,7 +6,8 @@ labels and path pieces are split into words by the most likely segmentation unde
 (Viterbi), and a multinomial naive Bayes, learned from the urls that rules decide, weighs host and
 path words. Words that it hasn't seen don't count.
 
-Unigrams are counted over page texts, without what looks like a url or a host, and over paths; hosts are left
+Unigrams are counted over page texts, without blank-separated parts that hold '://' or a dot between letters or
+digits (urls and hosts), and over paths; hosts are left
 out, else a concatenated name would be a word of its own. All words seen `least` times or more are used, of 2 to `longest`
 letters (a piece without known words stays whole, in parts of `longest` letters). Neither they nor the words' weights are ever
 gathered: each distinct piece meets the counts of its own substrings by a join, and each url shape the weights of its words.
@@ -96,7 +97,8 @@ def segmented(piece: str, counts: dict[str, int], total: int, longest: int = 24)
 def word_counts(pages: DataFrame, least: int = 2, longest: int = 24) -> DataFrame:
     """(w, c) of the words in page texts and paths; see above."""
     text = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
-    text = F.regexp_replace(text, r"\S*://\S*|[\p{L}\d_-]+(?:\.[\p{L}\d_-]+)+", " ")
+    plain = F.filter(F.split(text, r"\s+"), lambda t: ~(t.contains("://") | (t.contains(".") & t.rlike(r"[\p{L}\d]\.[\p{L}\d]"))))
+    text = F.array_join(plain, " ")
     words = pages.select(F.explode(F.split(F.lower(F.concat_ws(" ", path_of(F.col("url")), text)), r"[^\p{L}]+")).alias("w"))
     return words.where(f"length(w) between 2 and {longest}").groupBy("w").agg(F.count("*").alias("c")).where(F.col("c") >= least)
 

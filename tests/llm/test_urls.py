@@ -38,7 +38,7 @@ def brute(rows, least=2, longest=24):
     count = Counter()
     for _, u, html in rows:
         t = re.sub(r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ", html or "")
-        t = re.sub(r"\S*://\S*|[^\W_][\w-]*(?:\.[\w-]+)+", " ", t)
+        t = " ".join(x for x in t.split() if "://" not in x and not re.search(r"[^\W_]\.[^\W_]", x))
         count.update(w for w in re.split(r"[^a-z]+", f"{path(u)} {t}".lower()) if 2 <= len(w) <= longest)
     count = {w: c for w, c in count.items() if c >= least}
     seg, memo = urls.Segmenter(count, longest), {}

@@ -1,13 +1,14 @@
-"""Shared helpers: tables, scratch tables in the shared folder, words, connected components."""
+"""Shared helpers: tables, files of the shared folder, words, connected components."""
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut, shared_dir  # noqa: F401  (for the modules here)
+
 #: A word is a run of characters other than the ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,12 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/evidentia"
-
-
 def open_path(uri: str, mode: str):
     """A file of the shared folder, local or in any store that pyarrow reaches."""
     if uri.startswith(("file:", "/")):
@@ -38,14 +33,6 @@ def open_path(uri: str, mode: str):
     return store.open_output_stream(path)
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: lineage ends here, and
-    a lost executor costs no more than the stages behind this table."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

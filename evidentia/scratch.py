@@ -18,6 +18,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/evidentia"
 
 
+def clear(spark: SparkSession) -> None:
+    """Removes all intermediate tables; only while no query runs and no result that reads them is kept."""
+    from .sources.store import store_at
+
+    store_at(shared_dir(spark), spark).delete("")
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet and read it again: what it holds is fixed, and lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"

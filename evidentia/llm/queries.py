@@ -34,7 +34,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), secrets.fit(spark))
-    return rows.select("doc_id", F.posexplode("findings")).select("doc_id", F.col("pos").alias("place"), "col.value", "col.score", "col.secret")
+    # outer: else a filter on the array's size is put below, and the scan is made for it once more
+    return rows.select("doc_id", F.posexplode_outer("findings")).where("pos is not null").select("doc_id", F.col("pos").alias("place"), "col.value", "col.score", "col.secret")
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

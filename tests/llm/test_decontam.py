@@ -63,7 +63,7 @@ def corpus():
     r = random.Random(6)
     noise = lambda n: " ".join(r.choice("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod".split()) for _ in range(n))
     items, docs, want = [], [], set()
-    for i in range(40):
+    for i in range(18):
         seed, who, n = r.random(), r.sample(NAMES, 2), [r.randint(2, 99) for _ in range(4)]
         items.append((i, question(random.Random(seed), who, n)))
         other = question(random.Random(seed), r.sample(NAMES, 2), [r.randint(100, 999) for _ in range(4)])

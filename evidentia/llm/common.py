@@ -33,6 +33,17 @@ def open_path(uri: str, mode: str):
     return store.open_output_stream(path)
 
 
+def lean(threshold: int = 1 << 20) -> None:
+    """Tells the C library, where it is one that listens, to give large arrays back to the system when they are freed, so
+    that a worker doesn't keep the memory of its largest batch."""
+    import ctypes
+
+    try:
+        ctypes.CDLL(None).mallopt(-3, threshold)  # M_MMAP_THRESHOLD
+    except (AttributeError, OSError):
+        pass
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

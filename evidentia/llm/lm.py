@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, open_path, remainder, shared_dir
+from .common import cut, lean, open_path, remainder, shared_dir
 
 BOS, END = xxhash.xxh64_intdigest(b" ", 0), xxhash.xxh64_intdigest(b"\n", 0)  # no word has a blank
 DISCOUNT = 0.75
@@ -255,6 +255,7 @@ def batches(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
 
     def each(rows):
+        lean()
         base, digest = TaskContext.get().partitionId() << 36, xxhash.xxh64_intdigest
         ids, parts, fit, number, held = [], [], [], {}, 0
 
@@ -360,6 +361,7 @@ def word_messages(held: DataFrame, shards: int) -> DataFrame:
     """(shard, batch, body): a batch's words of a shard, with their training counts."""
 
     def each(rows):
+        lean()
         for r in rows:
             for batch, body in zip(r.column(0), r.column(1), strict=True):
                 hashes, tokens, sizes, fit = unpacked(body.as_buffer())
@@ -377,6 +379,7 @@ def count_words(shards: int, total: int):
     has the shard's number of words that training saw, and those with more than a shard's share of all tokens."""
 
     def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        lean()
         asked = [unpacked(x.as_buffer()) for x in rows.column("body")]
         words, back = np.unique(np.concatenate([np.cumsum(w, dtype=U) for w, _ in asked]), return_inverse=True)
         count = np.bincount(back, np.concatenate([c for _, c in asked])).astype(np.int64)
@@ -394,6 +397,7 @@ def pair_messages(held: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarra
     """(shard, batch, body): a batch's distinct pairs of a shard, with their training counts."""
 
     def each(rows):
+        lean()
         for r in rows:
             for batch, body in zip(r.column(0), r.column(1), strict=True):
                 hashes, tokens, sizes, fit = unpacked(body.as_buffer())
@@ -417,27 +421,32 @@ def serve(hot: tuple[np.ndarray, np.ndarray, np.ndarray], folder: str):
     hot: hashes, parts and counts of split contexts."""
 
     def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        words, pair, n, contexts, at = [], [], [], [], 0
+        lean()
+        words, a, b, n, contexts, at = [], [], [], [], [], 0
         for x in rows.column("body"):
             w, da, y, times = unpacked(x.as_buffer())
-            a = np.cumsum(da, dtype=np.int64) + at
             words.append(np.cumsum(w, dtype=U))
-            pair.append(a << 32 | y.astype(np.int64) + at)
-            contexts.append(a[np.append(True, a[1:] != a[:-1])])
+            a.append(np.cumsum(da, dtype=np.int32) + np.int32(at))
+            b.append(y.astype(np.int32) + np.int32(at))
+            contexts.append(a[-1][np.append(True, a[-1][1:] != a[-1][:-1])])
             n.append(times.astype(np.int32))
             at += len(w)
-        ends = np.cumsum([len(x) for x in pair])
+        ends = np.cumsum([len(x) for x in a])
         words, place = np.unique(np.concatenate(words), return_inverse=True)
-        pair, n = np.concatenate(pair), np.concatenate(n)
-        pair = place[pair >> 32] << 32 | place[pair & 0xFFFFFFFF]
+        pair = place[np.concatenate(a)]
+        pair <<= 32
+        pair |= place[np.concatenate(b)]
+        del a, b
         order = np.argsort(pair, kind="stable")  # sorted runs, one a message
-        pair = pair[order]
+        pair, n = pair[order], np.concatenate(n)[order]
         new = np.append(True, pair[1:] != pair[:-1])
         of = np.empty(len(order), np.int32)
         of[order] = np.cumsum(new, dtype=np.int32) - 1
-        count = np.add.reduceat(n[order], np.flatnonzero(new), dtype=np.int64)
-        first, second = pair[new] >> 32, pair[new] & 0xFFFFFFFF
-        del pair, n, order, new
+        del order
+        count = np.add.reduceat(n, np.flatnonzero(new), dtype=np.int64)
+        pair = pair[new]
+        first, second = (pair >> 32).astype(np.int32), (pair & 0xFFFFFFFF).astype(np.int32)
+        del pair, n, new
         seen = np.flatnonzero(count)
         totals, kinds = np.bincount(first, count, len(words)), np.bincount(first[seen], minlength=len(words))
         split = np.isin(words, hot[0])
@@ -460,6 +469,7 @@ def finish(shards: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray], weights:
     norm = total + 0.5 * (distinct + 1)
 
     def each(key: tuple[pa.Scalar, ...], batch: pa.Table, answers: pa.Table) -> pa.Table:
+        lean()
         ids = batch.column("ids")[0].values
         hashes, tokens, sizes, _ = unpacked(batch.column("body")[0].as_buffer())
         sizes = sizes.astype(np.int64)

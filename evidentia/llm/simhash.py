@@ -308,7 +308,7 @@ def exact_links(sets: list[np.ndarray], least: float, at_once: int = 1 << 22) ->
     return tied, lab[tied]
 
 
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6, tile: int = 4096, members: int = 1 << 19) -> DataFrame:
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 48, rows: int = 6, tile: int = 4096, members: int = 1 << 17) -> DataFrame:
     """(id, t, component) for every row of docs: connected components of the texts whose sets of `width`-word
     shingles have a Jaccard similarity of `least` or more; t is the text's hash.
 

@@ -54,9 +54,10 @@ def rule_for(rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def pieces(text: str) -> list[str]:
-    """Runs of letters, and one mark for each run of digits."""
-    return ["#" if x[0].isdigit() else x for x in re.findall(r"[^\W\d_]+|\d+", text.lower())]
+def pieces(text: str, most: int = 1000) -> list[str]:
+    """Runs of letters, in parts of `most` letters where they are longer, and one mark for each run of digits."""
+    runs = re.findall(r"[^\W\d_]+|\d+", text.lower())
+    return [y for x in runs for y in (["#"] if x[0].isdigit() else [x[i : i + most] for i in range(0, len(x), most)])]
 
 
 class Segmenter:

@@ -45,8 +45,13 @@ def envelope_error(strict: bool = True) -> Column:
         )
         for k in ("run_id", "guild_id", "channel_id", "operation", "endpoint", "request_started_at", "response_completed_at"):
             out = out.when(http & p[k].isNull(), k)
+        out = out.when(http & ~S.is_uuid7(p["run_id"]), "run_id")
         for k in ("guild_id", "channel_id"):
-            out = out.when(http & ~p[k].rlike(S.SNOWFLAKE), k)
+            out = out.when(http & ~p[k].rlike("^[0-9]+$"), k)
+        for k in ("discord_api_version", "operation", "endpoint"):
+            out = out.when(http & (F.length(p[k]) == 0), k)
+        for k in ("limit", "remaining", "reset_after_seconds"):
+            out = out.when(http & (p["rate_limit"][k] < 0), f"rate_limit.{k}")
         for k in ("before", "after"):
             out = out.when(http & p["pagination"][k].isNotNull() & ~p["pagination"][k].rlike(r"^[0-9]+$"), f"pagination.{k}")
         for c, k in ((F.col("observed_at"), "observed_at"), (p["request_started_at"], "request_started_at"), (p["response_completed_at"], "response_completed_at")):

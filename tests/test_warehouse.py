@@ -80,7 +80,7 @@ def test_refusals_hold_whatever_is_read(spark, pages, change):
 def test_strict_contract(spark, pages):
     assert P.validated(envelopes(spark, pages), True).count() == 4
     p = pages[0]["provenance"]
-    for change in ({"limit": 0}, {"http_status": 99}, {"capabilities": {}}, {"guild_id": "g"}, {"operation": None}, {"rate_limit": None}, {"request_started_at": "now"}, {"pagination": {"before": "x", "after": None}}):
+    for change in ({"limit": 0}, {"http_status": 99}, {"capabilities": {}}, {"guild_id": "g"}, {"operation": None}, {"operation": ""}, {"run_id": "r"}, {"rate_limit": None}, {"rate_limit": p["rate_limit"] | {"limit": -1}}, {"request_started_at": "now"}, {"pagination": {"before": "x", "after": None}}):
         with pytest.raises(Exception, match="refused envelope"):
             P.validated(envelopes(spark, [pages[0] | {"provenance": p | change}]), True).count()
 

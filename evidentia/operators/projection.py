@@ -224,10 +224,16 @@ def set_digest(rows: DataFrame, *by: str, ids: Column) -> DataFrame:
     return x.groupBy(*by).agg(F.count("*").alias("members"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("total", "mixed")])
 
 
-def contiguous(rows: DataFrame, stream: str, seq: str) -> DataFrame:
-    """Highest sequence number below which none is missing, for each stream that starts at 0."""
-    r = rows.select(stream, seq).distinct().withColumn("n", F.row_number().over(W.partitionBy(stream).orderBy(seq)) - 1)
-    return r.groupBy(stream).agg(F.max(F.when(F.col(seq) == F.col("n"), F.col(seq))).alias("accepted"), F.max(seq).alias("received"))
+def contiguous(rows: DataFrame, stream: str, seq: str, accepted: Column | None = None) -> DataFrame:
+    """(stream, accepted, received): the highest number up to which all are accepted, null where 0 isn't, and the highest
+    that was received. Runs end where the next number isn't accepted, which is a join by stream and number: a stream's
+    numbers are spread over all tasks."""
+    ok = (F.lit(True) if accepted is None else F.coalesce(accepted, F.lit(False))).alias("ok")
+    one = rows.select(stream, seq, ok).groupBy(stream, seq).agg(F.max("ok").alias("ok"))
+    known = one.where("ok").select(stream, seq)
+    ends = known.join(known.select(stream, (F.col(seq) - 1).alias(seq)), [stream, seq], "left_anti").groupBy(stream).agg(F.min(seq).alias("accepted"))
+    top = one.groupBy(stream).agg(F.max(seq).alias("received"), F.max(F.when(F.col("ok") & (F.col(seq) == 0), True)).alias("begun"))
+    return top.join(ends, stream, "left").select(stream, F.when(F.col("begun"), F.col("accepted")).alias("accepted"), "received")
 
 
 def activity(canonical: DataFrame, unit: str = "hour") -> DataFrame:

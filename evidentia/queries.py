@@ -158,9 +158,9 @@ def sliding_invalid_budget(spark, sf):
     return e.select("event_id", F.count("*").over(w).alias("in_window"), F.min("ms").over(w).alias("oldest"))
 
 
-@query("select conv_id, max(case when turn = n then turn end) as accepted, max(turn) as received from (select conv_id, turn, row_number() over (partition by conv_id order by turn) - 1 as n from conversations where (conv_id + turn) % 5 <> 3) group by conv_id")
+@query("select conv_id, max(case when ok and turn = n - 1 then turn end) as accepted, max(turn) as received from (select conv_id, turn, ok, count(*) filter (where ok) over (partition by conv_id order by turn) as n from (select *, (conv_id + turn) % 5 <> 3 as ok from conversations)) group by conv_id")
 def contiguous_watermark(spark, sf):
-    return P.contiguous(table(spark, sf, "conversations").where("(conv_id + turn) % 5 <> 3"), "conv_id", "turn")
+    return P.contiguous(table(spark, sf, "conversations"), "conv_id", "turn", F.expr("(conv_id + turn) % 5 <> 3"))
 
 
 @query("select doc_id, sha256(text) as payload_sha256 from documents")
@@ -173,10 +173,10 @@ def json_field_extract(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k long").k.alias("k"))
 
 
-@query("with a as (select doc_id, lang, n_chars from documents), b as (select doc_id, lang, case when doc_id % 10 = 0 then n_chars + 1 else n_chars end as n_chars from documents where doc_id % 17 <> 0) select '-' as sign, * from (select * from a except select * from b) union all select '+' as sign, * from (select * from b except select * from a)")
+@query("with a as (select doc_id, lang, n_chars from documents), b as (select case when doc_id % 17 = 0 then -1 - doc_id else doc_id end as doc_id, lang, case when doc_id % 10 = 0 then n_chars + 1 else n_chars end as n_chars from documents) select '-' as sign, * from (select * from a except select * from b) union all select '+' as sign, * from (select * from b except select * from a)")
 def symmetric_diff(spark, sf):
     a = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
-    b = a.where("doc_id % 17 <> 0").withColumn("n_chars", F.when(F.col("doc_id") % 10 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars")))
+    b = a.withColumn("n_chars", F.when(F.col("doc_id") % 10 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))).withColumn("doc_id", F.when(F.col("doc_id") % 17 == 0, -1 - F.col("doc_id")).otherwise(F.col("doc_id")))
     return E.diff(a, b)
 
 
@@ -380,10 +380,10 @@ def route_buckets(spark, sf):
     return community.latest_buckets(e)
 
 
-@query("select distinct conv_id from conversations where conv_id % 3 = 0")
+@query("select conv_id from conversations group by conv_id having count(*) > 4")
 def admission(spark, sf):
-    e = envelopes(spark, sf)
-    return community.admit(e, e.where("conv_id % 3 = 0").select(F.col("conv_id").cast("string").alias("channel_id"))).select("conv_id")
+    public = table(spark, sf, "conversations").groupBy(F.col("conv_id").cast("string").alias("channel_id")).count().where("count > 4")
+    return community.admit(envelopes(spark, sf), public.select("channel_id")).select("conv_id")
 
 
 @query("select cast(conv_id * 1000 + turn as varchar) as message_id, unnest(['channel', 'attachment']) as kind, unnest([cast(conv_id as varchar), 'f' || turn]) as other_id from conversations")
@@ -444,10 +444,9 @@ def ordered_limit(spark, sf):
     return P.ordered(P.project(envelopes(spark, sf).drop("conv_id"))).select("message_id", "content").limit(500)
 
 
-@query("select event_id as sequence, event_type as event, '{\"op\":0,\"t\":\"' || event_type || '\",\"s\":' || event_id || ',\"d\":{}}' as payload from events where event_id % 3 = 0")
+@query("""select event_id as sequence, event_type as event, '{"op":0,"t":"' || event_type || '","s":' || event_id || ',"d":{}}' as payload from events where event_type not in ('click', 'error')""")
 def gateway_dispatches(spark, sf):
-    op = (F.col("event_id") % 3).cast("string")  # 0: a dispatch
-    name = F.when(F.col("event_id") % 3 == 1, F.lit("TYPING_START")).otherwise(F.col("event_type"))
-    frame = F.concat(F.lit('{"op":'), F.when(op == "1", "0").otherwise(op), F.lit(',"t":"'), name, F.lit('","s":'), F.col("event_id").cast("string"), F.lit(',"d":{}}'))
+    kind = F.col("event_type")  # clicks stand for transient events, errors for control frames
+    frame = F.concat(F.lit('{"op":'), F.when(kind == "error", "11").otherwise("0"), F.lit(',"t":"'), F.when(kind == "click", "TYPING_START").otherwise(kind), F.lit('","s":'), F.col("event_id").cast("string"), F.lit(',"d":{}}'))
     rows = table(spark, sf, "events").select(F.lit("0199a1b2-0000-7000-8000-000000000001").alias("observation_id"), F.lit("2024-01-01T00:00:00Z").alias("observed_at"), frame.alias("frame"), F.lit("i").alias("instance_id"), F.lit("s").alias("session_id"), F.lit(0).alias("shard"), F.lit(1).alias("intents"))
     return dispatches(rows).select("gateway.sequence", "gateway.event", "payload")

@@ -61,8 +61,8 @@ def current_state(spark, sf):
 @query(WINNERS.format(where=""))
 def chunked_reduce_state(spark, sf):
     rows = seen(spark, sf).withColumn("chunk", F.col("event_id") % 7)
-    part = P.union(*[P.best_known(rows.where(F.col("chunk") == k).drop("chunk"), "user_id", ORDER) for k in range(7)])
-    return P.best_known(part, "user_id", ORDER).select("user_id", "event_id", "ts", "event_type")
+    part = P.best_known(rows.withColumn("key", F.struct("user_id", "chunk")).drop("chunk"), "key", ORDER)  # each chunk's winners
+    return P.best_known(part.drop("key"), "user_id", ORDER).select("user_id", "event_id", "ts", "event_type")
 
 
 @query(WINNERS.format(where="where ts <= TIMESTAMP '2024-01-15 00:00:00'"))
@@ -301,7 +301,7 @@ def compare_ids(spark, sf):
 @query("select distinct user_id, event_type from events")
 def union_of_groups(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_type")
-    return P.union(*[e.where(F.pmod("user_id", F.lit(3)) == k) for k in range(3)], e.where("user_id is null")).distinct()
+    return P.union(e, e.select("event_type", "user_id")).distinct()  # groups that overlap, columns in any order
 
 
 @query("select user_id, event_id, count(*) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as version from events")

@@ -58,6 +58,12 @@ def remainder(doc_id: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def at_least(edges: DataFrame, least: DataFrame, salts: int = 8) -> DataFrame:
+    """edges (u, v) with the m of their u; a node of many edges meets it in several tasks."""
+    every = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("long")).join(every, ["u", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of (a, b) by alternating large-star and small-star rounds
     (Kiveris et al., 2014). Returns (node, root), root the smallest node reached, for every
@@ -71,9 +77,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds if state[0] else 0):
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = at_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
+        small = at_least(large, least).select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
         e = cut(small.select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct(), "edges")
         before, state = state, mark(e)
         if before == state:
